@@ -5,15 +5,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from timbre.llm.common import read_table
+from timbre.llm.histogram_shard import shard_report
+from timbre.llm.line_dedup import line_report
+from timbre.llm.media_tiff import media_features
 from timbre.llm.quality_rules import quality_report
+from timbre.llm.secret_scan import secret_spans
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_spans(read_table(spark, sf_dir, "documents"))
+
+
+def op6_tiff_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media_features(read_table(spark, sf_dir, "documents"))
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op9_histogram_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_report(read_table(spark, sf_dir, "documents"))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op5_secret_scan": op5_secret_scan,
+    "op6_tiff_pages": op6_tiff_pages,
     "op8_quality_rules": op8_quality_rules,
+    "op9_histogram_shard": op9_histogram_shard,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
