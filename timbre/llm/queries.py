@@ -10,6 +10,16 @@ from timbre.llm.line_dedup import line_report
 from timbre.llm.media_tiff import media_features
 from timbre.llm.quality_rules import quality_report
 from timbre.llm.secret_scan import secret_spans
+from timbre.llm.source_mix import mix_report
+from timbre.llm.warc_archive import archive_round_trip
+
+
+def op1_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(read_table(spark, sf_dir, "pages"))
+
+
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_report(read_table(spark, sf_dir, "documents"))
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +43,8 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc_chain": op1_warc_chain,
+    "op2_source_mix": op2_source_mix,
     "op5_secret_scan": op5_secret_scan,
     "op6_tiff_pages": op6_tiff_pages,
     "op8_quality_rules": op8_quality_rules,
