@@ -9,6 +9,7 @@ from timbre.llm.histogram_shard import shard_report
 from timbre.llm.line_dedup import line_report
 from timbre.llm.media_tiff import media_features
 from timbre.llm.quality_rules import quality_report
+from timbre.llm.retrieval_pack import packed_pieces
 from timbre.llm.secret_scan import secret_spans
 from timbre.llm.source_mix import mix_report
 from timbre.llm.warc_archive import archive_round_trip
@@ -30,6 +31,10 @@ def op6_tiff_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_features(read_table(spark, sf_dir, "documents"))
 
 
+def op7_retrieval_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_pieces(read_table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -47,6 +52,7 @@ QUERIES = {
     "op2_source_mix": op2_source_mix,
     "op5_secret_scan": op5_secret_scan,
     "op6_tiff_pages": op6_tiff_pages,
+    "op7_retrieval_pack": op7_retrieval_pack,
     "op8_quality_rules": op8_quality_rules,
     "op9_histogram_shard": op9_histogram_shard,
     "op10_line_dedup": op10_line_dedup,
