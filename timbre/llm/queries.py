@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from timbre.llm.common import read_table
 from timbre.llm.histogram_shard import shard_report
+from timbre.llm.html_text import main_text
 from timbre.llm.line_dedup import line_report
 from timbre.llm.media_tiff import media_features
 from timbre.llm.quality_rules import quality_report
@@ -23,6 +24,10 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(read_table(spark, sf_dir, "documents"))
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(read_table(spark, sf_dir, "pages"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_spans(read_table(spark, sf_dir, "documents"))
 
@@ -50,6 +55,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc_chain": op1_warc_chain,
     "op2_source_mix": op2_source_mix,
+    "op4_html_text": op4_html_text,
     "op5_secret_scan": op5_secret_scan,
     "op6_tiff_pages": op6_tiff_pages,
     "op7_retrieval_pack": op7_retrieval_pack,
