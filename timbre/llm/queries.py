@@ -9,6 +9,7 @@ from timbre.llm.histogram_shard import shard_report
 from timbre.llm.html_text import main_text
 from timbre.llm.line_dedup import line_report
 from timbre.llm.media_tiff import media_features
+from timbre.llm.order_minhash import near_classes
 from timbre.llm.quality_rules import quality_report
 from timbre.llm.retrieval_pack import packed_pieces
 from timbre.llm.secret_scan import secret_spans
@@ -24,6 +25,10 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(read_table(spark, sf_dir, "documents"))
 
 
+def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_classes(read_table(spark, sf_dir, "documents"))
+
+
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(read_table(spark, sf_dir, "pages"))
 
@@ -55,6 +60,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc_chain": op1_warc_chain,
     "op2_source_mix": op2_source_mix,
+    "op3_order_minhash": op3_order_minhash,
     "op4_html_text": op4_html_text,
     "op5_secret_scan": op5_secret_scan,
     "op6_tiff_pages": op6_tiff_pages,
