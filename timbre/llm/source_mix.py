@@ -27,6 +27,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from timbre.llm.common import checkpointed
+
 #: Rows of one hash range of a source, about.
 RANGE_ROWS = 20_000
 
@@ -110,10 +112,11 @@ def mixed(docs: DataFrame, rule: MixRule = MixRule()) -> DataFrame:
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     # the hash of the id orders a source; the source's name and the id are all that counting reads
     rows = rows.select("row", F.coalesce(F.col("row.source").cast("string"), F.lit("")).alias("source"), F.xxhash64(F.col("row.doc_id")).alias("h"))
-    names = docs.select(F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source")).groupBy("source").agg(F.count("*").alias("n"))
+    # a row for each source, then for each class: counted once, used by all that follows
+    names = checkpointed(docs.select(F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source")).groupBy("source").agg(F.count("*").alias("n")))
     many = names.agg((F.count("*") > rule.max_sources).alias("many"))
     counts = names.crossJoin(F.broadcast(many)).groupBy(source_class(F.col("source"), rule, F.col("many")).alias("cls")).agg(F.sum("n").alias("n"))
-    share = shares(counts, rule)
+    share = checkpointed(shares(counts, rule))
     first_out = share.agg(F.min(F.floor((F.floor(F.col("n") / rule.block_rows)) * rule.frame / F.col("share"))).alias("first_out"))
     known = F.broadcast(share.crossJoin(F.broadcast(first_out)).crossJoin(F.broadcast(many)).select("k", "cls", "n", "share", "first_out", "many"))  # max_sources rows
     rows = rows.crossJoin(F.broadcast(many)).withColumn("cls", source_class(F.col("source"), rule, F.col("many"))).drop("many").join(known.drop("many"), "cls")
@@ -130,12 +133,14 @@ def mixed(docs: DataFrame, rule: MixRule = MixRule()) -> DataFrame:
     turns = F.broadcast(frame_schedule(share, rule).select(F.col("k").alias("tk"), F.col("turn"), "at"))  # a row for each slot of a frame
     rows = rows.join(turns, (F.col("k") == F.col("tk")) & (F.expr("block % share") == F.col("turn")))
     rows = rows.withColumn("frame", F.expr("block div share")).withColumn("slot", F.col("frame") * rule.frame + F.col("at"))
-    # rows before a frame: of each class what its blocks up to there hold
-    packed = share.agg(F.collect_list(F.struct("n", "share")).alias("all"))
+    # rows before a frame: of each class what its blocks up to there hold; worked out once a frame
+    packed = F.broadcast(share.agg(F.collect_list(F.struct("n", "share")).alias("all")))  # one row, max_sources entries
     base = F.aggregate("all", F.lit(0).cast("long"), lambda a, x: a + F.least(x["n"], F.col("frame") * x["share"] * rule.block_rows))
-    frames = rows.select("frame").distinct().crossJoin(F.broadcast(packed)).select(F.col("frame").alias("bf"), base.alias("base"))
-    place = F.row_number().over(Window.partitionBy("frame").orderBy("slot", "rank")) - 1
-    rows = rows.withColumn("place", place).join(frames, F.col("frame") == F.col("bf"))
+    # ranges of frames keep a frame in one task and the tasks in the mix's order
+    rows = rows.repartitionByRange("frame")
+    inside = Window.partitionBy("frame")
+    rows = rows.withColumn("place", F.row_number().over(inside.orderBy("slot", "rank")) - 1).crossJoin(packed)
+    rows = rows.withColumn("base", F.when(F.col("place") == 0, base)).drop("all").withColumn("base", F.max("base").over(inside))
     return rows.select(
         "row", "source", "block", "slot",
         F.expr(f"(block * {rule.frame}) div share").alias("release"),
@@ -150,5 +155,5 @@ def mix_report(docs: DataFrame, rule: MixRule = MixRule()) -> DataFrame:
 
 
 def mix_sources(docs: DataFrame, rule: MixRule = MixRule()) -> DataFrame:
-    """The rows of ``docs`` in the order of the mix, columns unchanged."""
-    return mixed(docs, rule).orderBy("position").select("row.*")
+    """The rows of ``docs`` in the order of the mix, columns unchanged: partitions hold ranges of it."""
+    return mixed(docs, rule).sortWithinPartitions("position").select("row.*")
