@@ -29,13 +29,14 @@ class RatioRule:
     buckets: hash buckets of the two multinomials.
     trusted_rows: bound on the labelled rows that the trusted multinomial is
         fitted on (those of the smallest id hash); corpus counts have no bound.
+    smoothing: corpus n-grams that a bucket is taken to hold besides, at the corpus rate.
     threshold: least mean log ratio per n-gram (nats) of a kept document.
     """
 
     buckets: int = 16384
     trusted_rows: int = 20000
-    smoothing: float = 1.0
-    threshold: float = -0.04
+    smoothing: float = 16.0
+    threshold: float = -0.05
     min_words: int = 50
     max_repeat_percent: int = 50
 
@@ -76,8 +77,10 @@ def ratio_weights(docs: DataFrame, labels: DataFrame, rule: RatioRule) -> DataFr
     cells = docs.sparkSession.range(rule.buckets).select(F.col("id").cast("int").alias("b"))
     cells = cells.join(counts, "b", "left").select("b", F.coalesce("raw", F.lit(0)).alias("raw"), F.coalesce("good", F.lit(0)).alias("good"))
     packed = cells.agg(F.sort_array(F.collect_list(F.struct("b", "raw", "good"))).alias("c"), F.sum("raw").alias("n_raw"), F.sum("good").alias("n_good"))
-    share = lambda n, total: (n + F.lit(rule.smoothing)) / (total + F.lit(rule.smoothing * rule.buckets))
-    weight = F.transform("c", lambda x: F.log(share(x["good"], F.col("n_good")) / share(x["raw"], F.col("n_raw"))))
+    # a text's own n-gram doesn't count against it, and an n-gram that no other text has is neutral
+    scale = F.col("n_raw") / F.col("n_good")
+    other = lambda x: F.greatest(x["raw"] - 1, F.lit(0)) + F.lit(rule.smoothing)
+    weight = F.transform("c", lambda x: F.log((x["good"] * scale + F.lit(rule.smoothing)) / other(x)))
     return packed.select(F.when(F.col("n_good") > 0, weight).otherwise(F.array_repeat(F.lit(0.0), rule.buckets)).alias("weights"))
 
 
@@ -122,5 +125,9 @@ def quality_report(docs: DataFrame, labels: DataFrame, rule: RatioRule = RatioRu
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, rule: RatioRule = RatioRule()) -> DataFrame:
-    """The rows of ``docs`` whose verdict is to keep them, columns unchanged."""
-    return judged(docs, labels, rule).where("kept").select("row.*")
+    """The rows of ``docs`` whose verdict is to keep them, columns unchanged.
+
+    The row number keeps the optimizer from moving the filter below the steps
+    that work the verdict out, where each of them would be repeated in it.
+    """
+    return judged(docs, labels, rule).withColumn("nth", F.monotonically_increasing_id()).where("kept and nth >= 0").select("row.*")
