@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -42,9 +43,19 @@ def fresh_path(spark: SparkSession, kind: str) -> str:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` with its lineage cut by a reliable checkpoint in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` with its lineage cut by a reliable checkpoint in the shared folder.
+
+    Shuffle files of plans that nothing refers to any more are freed by the
+    driver's garbage collector alone, so it is run here; in a long loop they
+    would otherwise fill the executors' disks.
+    """
+    spark = df.sparkSession
+    shared_dir(spark)
+    out = df.checkpoint(eager=True)
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return out
 
 
 def narrow(df: DataFrame, **columns: str) -> DataFrame:

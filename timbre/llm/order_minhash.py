@@ -11,8 +11,8 @@ their k-mers within a band that no alignment of the required similarity leaves:
 
 Texts of equal words are one class to begin with, stood for by the smallest
 ``doc_id``. In each bucket all texts are compared with the one of least id; no
-pair of other members is formed. A bucket in which some comparison fails is
-split by the buckets that its members share besides, ``depth`` times, and the
+pair of other members is formed. A bucket whose members aren't one class after
+that is split by the buckets that they share besides, ``depth`` times, and the
 parts are compared likewise, so that links among members that the first one
 isn't like are found too. Linked texts are one class (connected components).
 
@@ -44,7 +44,7 @@ WORD_BREAKS = str.maketrans({c: " " for c in "\t\n\x0b\x0c\r"})
 @dataclass(frozen=True)
 class NearRule:
     """words: of a k-mer; similarity: least similarity of a link; sketches: hash
-    functions; picked: k-mers of a bucket; depth: times that mixed buckets are split."""
+    functions; picked: k-mers of a bucket; depth: times that buckets of several classes are split."""
 
     words: int = 5
     similarity: float = 0.8
@@ -190,6 +190,14 @@ def star_pairs(members: DataFrame) -> DataFrame:
     return members.join(least, "key").where("id > u").select("u", F.col("id").alias("v"), "key")
 
 
+def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs whose sides aren't in one class yet."""
+    left = roots.select(F.col("id").alias("lid"), F.col("root").alias("lroot"))
+    right = roots.select(F.col("id").alias("rid"), F.col("root").alias("rroot"))
+    both = pairs.join(left, F.col("u") == F.col("lid"), "left").join(right, F.col("v") == F.col("rid"), "left")
+    return both.where(F.coalesce("lroot", "u") != F.coalesce("rroot", "v")).select("u", "v", "key")
+
+
 def kmers_for(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, rule: NearRule) -> DataFrame:
     """(id, kmers) of the texts that are in some pair, one row each."""
     used = pairs.select(F.col("u").alias("id")).unionByName(pairs.select(F.col("v").alias("id"))).distinct()
@@ -212,25 +220,31 @@ def links(docs: DataFrame, firsts: DataFrame, rule: NearRule) -> DataFrame:
     sketches = rows.mapInArrow(sketcher(rule), "id long, print string, buckets array<long>")
     sketches = checkpointed(sketches.join(firsts, ["id", "print"], "left_semi").groupBy("id").agg(F.first("buckets").alias("buckets")))
     members = sketches.select("id", F.posexplode("buckets").alias("s", "b")).select("id", "s", F.xxhash64("s", "b").alias("key"))
-    known = kmers = None
+    found = tried = kmers = None
     for level in range(rule.depth + 1):
         pairs = checkpointed(star_pairs(members))
         if kmers is None:
             kmers = kmers_for(docs, firsts, pairs, rule)
-        fresh = pairs if known is None else pairs.join(known.select("u", "v"), ["u", "v"], "left_anti")
-        checks = verified(fresh, kmers, rule)
-        known = checks if known is None else checkpointed(known.unionByName(checks))
+        if found is None:
+            checks = verified(pairs, kmers, rule)
+            found, tried = checks.where("alike").select("u", "v"), checks.select("u", "v")
+        else:
+            fresh = apart(pairs, roots).join(tried, ["u", "v"], "left_anti")
+            checks = verified(fresh, kmers, rule)
+            found = checkpointed(found.unionByName(checks.where("alike").select("u", "v")))
+            tried = checkpointed(tried.unionByName(checks.select("u", "v")))
         if level == rule.depth:
             break
-        # buckets with a failed comparison, split by the later buckets of their members
-        mixed = checkpointed(pairs.join(known.where("not alike"), ["u", "v"], "left_semi").select("key").distinct())
+        # buckets of several classes so far, split by the later buckets of their members
+        roots = components(found)
+        mixed = checkpointed(apart(pairs, roots).select("key").distinct())
         if mixed.isEmpty():
             break
         others = sketches.select(F.col("id").alias("oid"), "buckets")
         deeper = members.join(mixed, "key", "left_semi").join(others, F.col("id") == F.col("oid"))
         deeper = deeper.select("id", "key", F.col("s").alias("after"), F.posexplode("buckets").alias("s", "b")).where("s > after")
         members = checkpointed(deeper.select("id", "s", F.xxhash64("key", "s", "b").alias("key")))
-    return known.where("alike").select("u", "v")
+    return found
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -252,16 +266,15 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_classes(docs: DataFrame, rule: NearRule = NearRule()) -> DataFrame:
-    """(doc_id, class_id, n_links): every document with the least id of its class and its text's number of links."""
+    """(doc_id, class_id): every document with the least id of its class."""
     rows = narrow(docs, doc_id="doc_id", text="text")
     classes = text_classes(rows)
     firsts = classes.where("doc_id = first").select(F.col("doc_id").alias("id"), "print")
     found = checkpointed(links(rows, firsts, rule))
-    degree = found.select(F.col("u").alias("id")).unionByName(found.select(F.col("v").alias("id"))).groupBy("id").agg(F.count("*").alias("n_links"))
-    marks = checkpointed(components(found).join(degree, "id", "left").withColumnRenamed("id", "linked"))
+    marks = components(found).withColumnRenamed("id", "linked")
     out = classes.join(marks, F.col("first") == F.col("linked"), "left")
-    out = out.select("doc_id", F.coalesce("root", "first").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-    nameless = rows.where("doc_id is null").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+    out = out.select("doc_id", F.coalesce("root", "first").alias("class_id"))
+    nameless = rows.where("doc_id is null").select("doc_id", F.col("doc_id").alias("class_id"))
     return out.unionByName(nameless)
 
 
