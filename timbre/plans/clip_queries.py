@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,13 +24,18 @@ def r6(*names: str) -> list[Column]:
     return [F.round(n, 6).alias(n) for n in names]
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """What several passes read (statistics, cuts, ranks) is worked out once and kept on disk where memory is short."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clips that pass both gates with all measures and the verdict: inner joins on the clip."""
     s0, s1, s2, s3 = (standin(spark, sf_dir, n) for n in ("s0", "s1", "s2", "s3"))
     out = s0.where("passed").select("clip_id", "doc_id", "shard", "original_speaker", "duration_s")
     out = out.join(s1.where("passed").select("clip_id", "aes_pq", "aes_pc", "aes_ce"), "clip_id")
     out = out.join(s2.drop("doc_id"), "clip_id")
-    return out.join(s3.select("clip_id", "verdict", "trimmed", "trimmed_duration_s"), "clip_id")
+    return kept(out.join(s3.select("clip_id", "verdict", "trimmed", "trimmed_duration_s"), "clip_id"))
 
 
 JOINED = """joined AS (SELECT s0.clip_id, s0.doc_id, s0.shard, s0.original_speaker, s0.duration_s, s1.aes_pq, s1.aes_pc, s1.aes_ce,
@@ -153,7 +159,7 @@ LABELLED = "s0 s1 s2 s3 s4"
 def spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = scoring.zscore_sum(joined(spark, sf_dir), WEIGHTS)
     s4 = standin(spark, sf_dir, "s4").select("clip_id", "s4_status", "text_verdict", "emotion_primary", "emotion_intensity", "prosody_expressiveness", "defects")
-    return scored.join(s4, "clip_id", "left")
+    return kept(scored.join(s4, "clip_id", "left"))
 
 
 @query("s5_join", with_standins(LABELLED, f"WITH {SPINE} SELECT clip_id, original_speaker, verdict, s4_status, text_verdict, emotion_primary, emotion_intensity, prosody_expressiveness, array_to_string(defects, '|') AS defects, round(prosody_dsp_score, 6) AS prosody_dsp_score FROM spine"))
@@ -186,7 +192,7 @@ SELECTED = f"""cand AS (SELECT *, coalesce(cast(prosody_expressiveness * emotion
 
 
 def selected(spark, sf_dir):
-    return scoring.selection_scores(constrained(spark, sf_dir).where("reject_reason IS NULL"), RULE)
+    return kept(scoring.selection_scores(constrained(spark, sf_dir).where("reject_reason IS NULL"), RULE))
 
 
 @query("s5_scores", with_standins(LABELLED, f"WITH {SPINE}, {SELECTED} SELECT clip_id, round(selection_score, 6) AS selection_score FROM chosen"))
