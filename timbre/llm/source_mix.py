@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from timbre.llm.common import checkpointed
 
 #: Rows of one hash range of a source, about.
-RANGE_ROWS = 20_000
+RANGE_ROWS = 4_096
 
 
 @dataclass(frozen=True)
