@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import math
 import re
+import struct
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -51,6 +52,18 @@ class PackRule:
     tokenizer: str = public_tokenizers.path("word_bpe_49k.json")
 
 
+class Known(dict):
+    """A cache that works out what it doesn't hold."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key: str) -> bytes:
+        value = self[key] = self.make(key)
+        return value
+
+
 class WordEncoder:
     """Token ids of texts, by way of caches of the ids of their parts.
 
@@ -65,6 +78,7 @@ class WordEncoder:
     SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
     PLAIN = re.compile(r"[\x21-\x7e\xa1-\xac\xae-\xff]+")
     MARKUP = "<|"
+    MARKS = frozenset(".,;:!?")
     FULL = 1_000_000
 
     def __init__(self, path: str):
@@ -73,7 +87,7 @@ class WordEncoder:
         # bytes that don't print stand as characters from 256 on
         printing = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
         self.marks = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in printing)}
-        self.parts: dict[str, bytes] = {}
+        self.parts = Known(self.part)
         self.words: dict[str, bytes] = {}
 
     def word(self, word: str) -> bytes:
@@ -82,28 +96,30 @@ class WordEncoder:
             if len(self.words) >= self.FULL:
                 self.words.clear()
             spelled = word if word.isascii() else word.encode().decode("latin-1").translate(self.marks)
-            ids = self.words[word] = np.array([t.id for t in self.model.tokenize(spelled)], "<u2").tobytes()
+            ids = self.words[word] = self.packed([t.id for t in self.model.tokenize(spelled)])
         return ids
 
+    @staticmethod
+    def packed(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}H", *ids)
+
     def part(self, part: str) -> bytes:
+        # most parts are a word, or a word and a mark
+        last = part[-1:]
+        core = part[:-1] if last in self.MARKS else part
+        if core.isalpha() and (core.isascii() or self.PLAIN.fullmatch(core)):
+            ids = self.word(core.lower())
+            return ids if core is part else ids + self.word(last)
         if not self.PLAIN.fullmatch(part) or self.MARKUP in part:
-            return np.array(self.whole.encode(part, add_special_tokens=False).ids, "<u2").tobytes()
-        low = part.lower()
-        if low.isalpha():
-            return self.word(low)
-        if low[-1] in ".,;:!?" and low[:-1].isalpha():
-            return self.word(low[:-1]) + self.word(low[-1])
-        return b"".join(map(self.word, self.SPLIT.findall(low)))
+            return self.packed(self.whole.encode(part, add_special_tokens=False).ids)
+        return b"".join(map(self.word, self.SPLIT.findall(part.lower())))
 
     def __call__(self, text: str) -> np.ndarray:
         """Ids and the end token, as unsigned 16-bit numbers: the vocabulary has less than 65,536."""
         if len(self.parts) >= self.FULL:
             self.parts.clear()
         parts = text.replace("\n", " ").split(" ")
-        known = self.parts
-        for new in set(parts).difference(known):
-            known[new] = self.part(new)
-        return np.frombuffer(b"".join(map(known.__getitem__, parts)) + END.to_bytes(2, "little"), "<u2")
+        return np.frombuffer(b"".join(map(self.parts.__getitem__, parts)) + END.to_bytes(2, "little"), "<u2")
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
