@@ -199,6 +199,23 @@ def test_order_matters():
     assert same < rule.sketches
 
 
+def test_near_copies_around_a_shared_passage(spark):
+    """Pairs whose shared buckets are all headed by an unlike text of the same passage."""
+    rng = random.Random(5)
+    passage, texts = document(rng, 50), {}
+    for i in range(300):
+        own = document(rng, 10, ["w" + str(rng.random())]).split()
+        own = [f"{w}x{rng.random()}" for w in own]
+        texts[2 * i] = f"{passage} {' '.join(own)}"
+        texts[2 * i + 1] = f"{passage} {' '.join([*own[:5], *(f'y{rng.random()}' for _ in range(5))])}"
+    order = list(texts)
+    rng.shuffle(order)
+    ids = {k: n for n, k in enumerate(order)}
+    rows = spark.createDataFrame([(ids[k], t) for k, t in texts.items()], "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in order_minhash.near_classes(rows).collect()}
+    assert got == {ids[k]: min(ids[k], ids[k ^ 1]) for k in texts}
+
+
 # --- mixing ---
 
 

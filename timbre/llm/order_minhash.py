@@ -10,11 +10,12 @@ their k-mers within a band that no alignment of the required similarity leaves:
 ``matched / (a + b - matched) >= similarity``, for ``a`` and ``b`` k-mers.
 
 Texts of equal words are one class to begin with, stood for by the smallest
-``doc_id``. In each bucket all texts are compared with the one of least id; no
-pair of other members is formed. A bucket whose members aren't one class after
-that is split by the buckets that they share besides, ``depth`` times, and the
-parts are compared likewise, so that links among members that the first one
-isn't like are found too. Linked texts are one class (connected components).
+``doc_id``. In each bucket all texts are compared with the one of least id. The
+members of all buckets that aren't one class after that are joined exactly: of
+two texts of the required similarity, the k-mers of each in an order of rising
+frequency have one in common in a prefix of known length, so each pair of two
+classes that meets in a prefix is verified and no other can be a link. Linked
+texts are one class (connected components).
 
 Edge cases: a null text has no words; texts without words are alike and one
 class; texts of less than five words are a single k-mer; a null ``doc_id`` is a
@@ -26,6 +27,7 @@ unseen.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -44,13 +46,18 @@ WORD_BREAKS = str.maketrans({c: " " for c in "\t\n\x0b\x0c\r"})
 @dataclass(frozen=True)
 class NearRule:
     """words: of a k-mer; similarity: least similarity of a link; sketches: hash
-    functions; picked: k-mers of a bucket; depth: times that buckets of several classes are split."""
+    functions; picked: k-mers of a bucket."""
 
     words: int = 5
     similarity: float = 0.8
     sketches: int = 16
     picked: int = 3
-    depth: int = 2
+
+
+#: Cells of the counts that order k-mers; any order gives the same links, a better one fewer pairs.
+CELLS = 1 << 18
+#: Rows of a k-mer that meet in one task, of its lesser classes and of all.
+BLOCK, SPREAD = 256, 8
 
 
 def words_of(text: str | None) -> list[str]:
@@ -214,37 +221,127 @@ def verified(pairs: DataFrame, kmers: DataFrame, rule: NearRule) -> DataFrame:
     return checkpointed(full.mapInArrow(verifier(rule), "u long, v long, alike boolean"))
 
 
+def cells_of(marks: np.ndarray) -> np.ndarray:
+    return (marks >> np.uint64(20)).astype(np.int64) % CELLS
+
+
+def marks_of(packed: bytes) -> np.ndarray:
+    return labelled(np.frombuffer(packed, np.uint32).astype(np.uint64))
+
+
+def cell_counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """K-mers of the task in each cell."""
+    found = np.zeros(CELLS, np.int64)
+    for batch in batches:
+        for packed in batch.column(0):
+            np.add.at(found, cells_of(marks_of(packed.as_py())), 1)
+    used = np.flatnonzero(found)
+    yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(found[used], pa.int64())], names=["cell", "n"])
+
+
+def prefix_lengths(n: int, least: float) -> tuple[int, int]:
+    """K-mers of the rarest, of a text of ``n``, that meet those of a longer and of a shorter text."""
+    return n - math.ceil(2 * least * n / (1 + least) - 1e-9) + 1, n - math.ceil(least * n - 1e-9) + 1
+
+
+def prefix_writer(sent, rule: NearRule) -> Callable:
+    """Texts to the k-mers of their prefixes, by rising count of the cell."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = sent.value
+        for batch in batches:
+            parts = []
+            for i, packed in zip(*(c.to_pylist() for c in batch.columns)):
+                marks = marks_of(packed)
+                n, (short, long) = len(marks), prefix_lengths(len(marks), rule.similarity)
+                first = marks[np.lexsort((marks, counts[cells_of(marks)]))[:long]]
+                at = np.arange(len(first))
+                parts.append((first.view(np.int64), np.full(len(first), i), np.full(len(first), n), at, at < short))
+            if parts:
+                columns = [np.concatenate(c) for c in zip(*parts)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["mark", "id", "size", "at", "short"])
+
+    return run
+
+
+def prefixes_of(members: DataFrame, rule: NearRule) -> DataFrame:
+    """(mark, id, size, at, short): the k-mers of the prefixes of ``members`` (id, kmers)."""
+    spark = members.sparkSession
+    counts = np.zeros(CELLS, np.int64)
+    rows = members.select("kmers").mapInArrow(cell_counter, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    counts[rows.cell.to_numpy(np.int64)] = rows.n.to_numpy(np.int64)
+    sent = spark.sparkContext.broadcast(counts)
+    return checkpointed(members.select("id", "kmers").mapInArrow(prefix_writer(sent, rule), "mark long, id long, size long, at long, short boolean"))
+
+
+def can_link(rule: NearRule) -> Column:
+    """Whether sides l and r of a mark can be alike, if it is their first common one: by their
+    sizes, by the shorter text's prefix for longer ones, and by what follows the mark."""
+    need = rule.similarity * (F.col("lsize") + F.col("rsize")) / (1 + rule.similarity)
+    met = ((F.col("lsize") <= F.col("rsize")) & F.col("lshort")) | ((F.col("rsize") <= F.col("lsize")) & F.col("rshort"))
+    met &= F.least("lsize", "rsize") >= rule.similarity * F.greatest("lsize", "rsize") - 1e-9
+    return met & (F.col("lroot") != F.col("rroot")) & (F.least(F.col("lsize") - F.col("lat"), F.col("rsize") - F.col("rat")) >= need - 1e-9)
+
+
+def side(rows: DataFrame, name: str, *more: str) -> DataFrame:
+    return rows.select(*(F.col(c).alias(name + c) for c in ("mark", "id", "root", "size", "at", "short", *more)))
+
+
+def pairs_of(joined: DataFrame) -> DataFrame:
+    return checkpointed(joined.select(F.least("lid", "rid").alias("u"), F.greatest("lid", "rid").alias("v")).distinct())
+
+
+def next_pairs(prefixes: DataFrame, rule: NearRule) -> DataFrame:
+    """(u, v): each text with the next of the same mark in an order of hashes, if they can be alike."""
+    order = Window.partitionBy("mark").orderBy(F.xxhash64("mark", "id"), "id")
+    after = prefixes.withColumn("x", F.lead(F.struct("mark", "id", "root", "size", "at", "short")).over(order)).where("x is not null")
+    both = after.select(*(F.col(c).alias("l" + c) for c in prefixes.columns), *(F.col(f"x.{c}").alias("r" + c) for c in prefixes.columns))
+    return pairs_of(both.where(can_link(rule)))
+
+
+def cross_pairs(prefixes: DataFrame, rule: NearRule) -> DataFrame:
+    """(u, v): every pair of two roots that can be a link.
+
+    Of a mark's rows, those outside its greatest class meet all rows of other
+    classes: pairs within a class are never formed. Both sides are dealt in blocks.
+    """
+    classes = prefixes.groupBy("mark", "root").agg(F.count("*").alias("n")).groupBy("mark").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("all"), F.count("*").alias("roots")).where("roots > 1")
+    blocks = classes.select(F.col("mark").alias("m"), F.col("top.root").alias("top"), F.ceil((F.col("all") - F.col("top.n")) / BLOCK).alias("few"), F.ceil(F.col("all") / (16 * BLOCK)).alias("many"))
+    blocks = checkpointed(blocks.withColumn("lot", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)))))
+    dealt = checkpointed(prefixes.join(blocks, (F.col("mark") == F.col("m")) & (F.pmod(F.xxhash64("id"), F.lit(SPREAD)) == F.col("lot"))).drop("m", "lot"))
+    deal = lambda n, seed: F.pmod(F.xxhash64("id", F.lit(seed)), F.col(n))
+    to_all = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    left = side(dealt.where("root != top").withColumn("x", deal("few", 1)).withColumn("y", to_all("many")), "l", "x", "y")
+    right = side(dealt.withColumn("y", deal("many", 2)).withColumn("x", to_all("few")), "r", "x", "y")
+    return pairs_of(left.join(right, (F.col("lmark") == F.col("rmark")) & (F.col("lx") == F.col("rx")) & (F.col("ly") == F.col("ry")) & can_link(rule)))
+
+
+def rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    return checkpointed(rows.drop("root").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")))
+
+
 def links(docs: DataFrame, firsts: DataFrame, rule: NearRule) -> DataFrame:
     """(u, v): verified links among the texts of ``firsts`` (id, print)."""
     rows = docs.where("doc_id is not null").select("doc_id", word_print(F.col("text")).alias("print"), "text")
     sketches = rows.mapInArrow(sketcher(rule), "id long, print string, buckets array<long>")
     sketches = checkpointed(sketches.join(firsts, ["id", "print"], "left_semi").groupBy("id").agg(F.first("buckets").alias("buckets")))
-    members = sketches.select("id", F.posexplode("buckets").alias("s", "b")).select("id", "s", F.xxhash64("s", "b").alias("key"))
-    found = tried = kmers = None
-    for level in range(rule.depth + 1):
-        pairs = checkpointed(star_pairs(members))
-        if kmers is None:
-            kmers = kmers_for(docs, firsts, pairs, rule)
-        if found is None:
-            checks = verified(pairs, kmers, rule)
-            found, tried = checks.where("alike").select("u", "v"), checks.select("u", "v")
-        else:
-            fresh = apart(pairs, roots).join(tried, ["u", "v"], "left_anti")
-            checks = verified(fresh, kmers, rule)
-            found = checkpointed(found.unionByName(checks.where("alike").select("u", "v")))
-            tried = checkpointed(tried.unionByName(checks.select("u", "v")))
-        if level == rule.depth:
-            break
-        # buckets of several classes so far, split by the later buckets of their members
-        roots = components(found)
-        mixed = checkpointed(apart(pairs, roots).select("key").distinct())
-        if mixed.isEmpty():
-            break
-        others = sketches.select(F.col("id").alias("oid"), "buckets")
-        deeper = members.join(mixed, "key", "left_semi").join(others, F.col("id") == F.col("oid"))
-        deeper = deeper.select("id", "key", F.col("s").alias("after"), F.posexplode("buckets").alias("s", "b")).where("s > after")
-        members = checkpointed(deeper.select("id", "s", F.xxhash64("key", "s", "b").alias("key")))
-    return found
+    members = sketches.select("id", F.posexplode("buckets").alias("s", "b")).select("id", F.xxhash64("s", "b").alias("key"))
+    pairs = checkpointed(star_pairs(members))
+    kmers = kmers_for(docs, firsts, pairs, rule)
+    checks = verified(pairs, kmers, rule)
+    found = checks.where("alike").select("u", "v")
+    # all members of the buckets that are of several classes so far
+    roots = components(found)
+    mixed = checkpointed(apart(pairs, roots).select("key").distinct())
+    left = pairs.join(mixed, "key", "left_semi").select(F.explode(F.array("u", "v")).alias("id")).distinct()
+    prefixes = rooted(prefixes_of(checkpointed(left.join(kmers, "id")), rule), roots)
+    # a few pairs of each mark first, which join most classes, so that few pairs of two classes are left for the join
+    tried = checks.select("u", "v")
+    near = verified(next_pairs(prefixes, rule).join(tried, ["u", "v"], "left_anti"), kmers, rule)
+    found = checkpointed(found.unionByName(near.where("alike").select("u", "v")))
+    prefixes, tried = rooted(prefixes, components(found)), tried.unionByName(near.select("u", "v"))
+    rest = verified(cross_pairs(prefixes, rule).join(tried, ["u", "v"], "left_anti"), kmers, rule)
+    return found.unionByName(rest.where("alike").select("u", "v"))
 
 
 def components(edges: DataFrame) -> DataFrame:
