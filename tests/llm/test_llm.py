@@ -373,6 +373,15 @@ def test_archive(spark):
     assert warc_archive.archive_round_trip(pages.where("false")).count() == 0
 
 
+def test_archive_long_url(spark):
+    long = "http://h/" + "x" * 100_000
+    rows = [(i, long if i == 5 else f"http://h/{i}", f"page {i} " + "y" * 200 * (i > 7)) for i in range(10)] + [(10, "http://h/5", "page 5 "), (11, "http://h/c", "z" * 300), (12, long, "z" * 300)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    out = warc_archive.archive_round_trip(pages).collect()
+    assert {(r.page_id, r.url, r.payload_bytes) for r in out} == {(i, u, len(h)) for i, u, h in rows} and len(out) == len(rows)
+    assert next(r for r in out if r.page_id == 12).refers_to == 11
+
+
 # --- pages ---
 
 

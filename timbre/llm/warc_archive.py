@@ -12,7 +12,7 @@ Pages whose payloads are equal and have at least 100 bytes are stored once: the
 page with the smallest id is a response, the others are revisits of it.
 
 Edge cases: a null html is an empty payload; a null url has no target line; a
-null ``page_id`` is always a response; rows that repeat a ``page_id`` get a
+null ``page_id`` is always a response; a url of any length is read back; rows that repeat a ``page_id`` get a
 record each, all of the same type; an empty table gives an empty result; only
 three columns are read, so others can't clash. A damaged record ends its file's
 chain: the records after it aren't reached.
@@ -37,7 +37,6 @@ FILE_RECORDS = 2048
 ENDS = "\r\n\r\n"
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
-MAX_HEADER = 1 << 16
 
 CANDIDATE_SCHEMA = "file long, offset long, next long, page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string"
 
@@ -91,19 +90,18 @@ def write_archive(pages: DataFrame, path: str) -> None:
 
 def parsed(data: bytes, at: int) -> tuple | None:
     """(next, page_id, url, type, refers_to, size, digest) of the record that would start at ``at``."""
-    end = data.find(b"\r\n\r\n", at, at + MAX_HEADER)
-    if end < 0:
-        return None
-    fields = {}
-    for line in data[at:end].split(b"\r\n")[1:]:
-        name, colon, value = line.partition(b":")
-        if not colon:
+    fields, line_at = {}, data.find(b"\r\n", at) + 2
+    # line by line: a header may be of any length, and text that isn't one ends at its first line without a colon
+    while (end := data.find(b"\r\n", line_at)) != line_at:
+        name, colon, value = data[line_at:end].partition(b":")
+        if end < 0 or not colon:
             return None
         fields[name.strip().lower()] = value.strip()
+        line_at = end + 2
     length = fields.get(b"content-length", b"")
     if not length.isdigit():
         return None
-    start, stop = end + 4, end + 4 + int(length)
+    start, stop = end + 2, end + 2 + int(length)
     if data[stop : stop + 4] != b"\r\n\r\n":
         return None
     number = lambda name: int(m[1]) if (m := re.fullmatch(rb"<urn:page:(-?\d+)>", fields.get(name, b""))) else None
