@@ -40,3 +40,23 @@ def test_query(spark, con, name):
     assert sorted(got.column_names) == sorted(want.column_names)
     rows = lambda t: sorted((tuple(map(plain, r)) for r in zip(*(t[c].to_pylist() for c in sorted(t.column_names)))), key=repr)
     assert rows(got) == rows(want)
+
+
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        last, row[0] = row[0], i + 1
+        for j, y in enumerate(b):
+            last, row[j + 1] = row[j + 1], min(row[j] + 1, row[j + 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_cer_of_whole_texts(spark, con):
+    texts = dict(con.sql("SELECT item_id, text FROM benchmark").fetchall())
+    got = {r.item_id: r.cer for r in catalog.QUERIES["cer_whole"](spark, SF).collect()}
+    assert got.keys() == texts.keys()
+    other = [i for i, t in texts.items() if not t.isascii()][:10] + [i for i, t in texts.items() if t.isascii()][:10]
+    assert len(other) > 10
+    for i in other:
+        t = texts[i]
+        assert abs(got[i] - edits(t, t.replace("e", "a") + " added") / len(t)) < 1e-6
