@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from timbre.functions.text import is_rate_limit
-from timbre.operators.scoring import ranked
+from timbre.operators.scoring import quantiles, ranked
 
 # Quantile points of calibration; tokens and prices of a label.
 QUANTILES = (0.01, 0.05, 0.10, 0.25, 0.50, 0.75, 0.90, 0.95, 0.99)
@@ -25,12 +25,8 @@ def histogram(df: DataFrame, column: Column, where: Column | None = None) -> Dat
 
 
 def metric_quantiles(df: DataFrame, metrics: Sequence[str], points: Sequence[float] = QUANTILES) -> DataFrame:
-    """(metric, n, mean, q, value): exact interpolated quantiles of all metrics in one pass."""
-    at = F.array(*map(F.lit, points))
-    one = df.agg(*(F.struct(F.count(m).alias("n"), F.avg(m).alias("mean"), F.percentile(m, at).alias("q")).alias(m) for m in metrics))
-    rows = one.select(F.explode(F.array(*(F.struct(F.lit(m).alias("metric"), F.col(m).alias("s")) for m in metrics))).alias("x"))
-    pairs = F.explode(F.arrays_zip(at.alias("p"), F.col("x.s.q").alias("v")))
-    return rows.select("x.metric", F.col("x.s.n").alias("n"), F.col("x.s.mean").alias("mean"), pairs.alias("y")).select("metric", "n", "mean", F.col("y.p").alias("q"), F.col("y.v").alias("value"))
+    """(metric, n, mean, q, value): exact interpolated quantiles of all metrics."""
+    return quantiles(df, metrics, points)
 
 
 def suggested_thresholds(df: DataFrame, metrics: Sequence[tuple[str, str]], survival: float, points: Sequence[float] = QUANTILES) -> DataFrame:

@@ -53,8 +53,11 @@ def capped_round_robin(df: DataFrame, cap: int | None, speaker: str, bucket: str
     out = df.withColumns({"__who": who, "__what": what})
     inner = Window.partitionBy("__who", "__what").orderBy(F.desc(score), F.asc(key))
     out = out.withColumns({"__rk": F.row_number().over(inner), "__best": F.first(score).over(inner)})
+    # a row beyond the cap in its bucket is beyond it in any order of the speaker, so only the others are ordered again
+    near = out.where(F.col("__rk") <= cap)
     turn = F.row_number().over(Window.partitionBy("__who").orderBy("__rk", F.desc("__best"), F.desc("__what")))
-    return out.withColumn("kept", turn <= cap).drop("__who", "__what", "__rk", "__best")
+    near = near.withColumn("kept", turn <= cap)
+    return near.unionByName(out.where(F.col("__rk") > cap).withColumn("kept", F.lit(False))).drop("__who", "__what", "__rk", "__best")
 
 
 def shuffled(df: DataFrame, key: str, seed: int = 1234) -> DataFrame:

@@ -12,17 +12,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from timbre.config import SelectionRule
+from timbre.store import checkpointed
 
 PREFIX = "__stat_"
 
 
 def with_stats(df: DataFrame, stats: Mapping[str, Column], by: Sequence[str] = ()) -> DataFrame:
-    """``df`` with the aggregates as columns: over all rows by a broadcast row, or by group through a window."""
-    if by:
-        w = Window.partitionBy(*by)
-        return df.select("*", *(c.over(w).alias(PREFIX + n) for n, c in stats.items()))
-    one = df.agg(*(c.alias(PREFIX + n) for n, c in stats.items()))  # a single row
-    return df.crossJoin(F.broadcast(one))
+    """``df`` with the aggregates as columns: a broadcast row of all rows, or a row of the group, joined back."""
+    named = [c.alias(PREFIX + n) for n, c in stats.items()]
+    if not by:
+        return df.crossJoin(F.broadcast(df.agg(*named)))  # a single row
+    keys = [PREFIX + f"by{i}" for i in range(len(by))]
+    groups = df.groupBy(*(F.col(b).alias(k) for b, k in zip(by, keys))).agg(*named)
+    match = F.lit(True)
+    for b, k in zip(by, keys):
+        match = match & F.col(b).eqNullSafe(F.col(k))
+    return df.join(groups, match).drop(*keys)
 
 
 def without_stats(df: DataFrame) -> DataFrame:
@@ -51,11 +56,36 @@ def minmax(df: DataFrame, columns: Mapping[str, str], constant: float, missing:
     return without_stats(out.withColumns(scaled))
 
 
+def quantiles(df: DataFrame, metrics: Sequence[str], points: Sequence[float]) -> DataFrame:
+    """(metric, n, mean, q, value): exact interpolated quantiles of the values that aren't null.
+
+    Values are counted first (partial sums before the exchange), then numbered in
+    one range order of (metric, value); only the values at the wanted places go
+    on, so no task holds all values of a metric. A metric without values has null
+    quantiles.
+    """
+    spark = df.sparkSession
+    cells = F.explode(F.array(*(F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("v")) for m in metrics)))
+    counted = df.select(cells.alias("c")).select("c.metric", "c.v").where("v is not null").groupBy("metric", "v").agg(F.count("*").alias("c"))
+    placed = checkpointed(numbered(counted, [F.col("metric"), F.col("v")], "before", weight=F.col("c"), by=["metric"]))
+    wanted = spark.createDataFrame([(m, float(p)) for m in metrics for p in points], "metric string, q double")
+    sums = wanted.select("metric").distinct().join(placed.groupBy("metric").agg(F.sum("c").alias("n"), (F.sum(F.col("v") * F.col("c")) / F.sum("c")).alias("mean")), "metric", "left")
+    at = wanted.join(F.broadcast(sums), "metric").withColumn("at", F.col("q") * (F.coalesce("n", F.lit(0)) - 1))
+    at = at.select("metric", "q", F.coalesce("n", F.lit(0)).alias("n"), "mean", "at", F.floor("at").alias("lo"), F.ceil("at").alias("hi"))
+    hits = placed.join(F.broadcast(at.select(F.col("metric").alias("m"), "q", "lo", "hi")), (F.col("metric") == F.col("m")) & (F.col("before") <= F.col("hi")) & (F.col("before") + F.col("c") > F.col("lo")))
+    low = F.max(F.when((F.col("before") <= F.col("lo")) & (F.col("before") + F.col("c") > F.col("lo")), F.col("v")))
+    high = F.max(F.when((F.col("before") <= F.col("hi")) & (F.col("before") + F.col("c") > F.col("hi")), F.col("v")))
+    ends = hits.groupBy(F.col("m"), F.col("q").alias("hq")).agg(low.alias("a"), high.alias("b"))
+    out = at.join(ends, (F.col("metric") == F.col("m")) & (F.col("q") == F.col("hq")), "left")
+    value = F.when(F.col("lo") == F.col("hi"), F.col("a")).otherwise(F.col("a") * (F.col("hi") - F.col("at")) + F.col("b") * (F.col("at") - F.col("lo")))
+    return out.select("metric", "n", "mean", "q", value.alias("value"))
+
+
 def quantile_cut(df: DataFrame, score: str, keep: float, among: Column | None = None, name: str = "score_cut") -> DataFrame:
     """Adds the interpolated quantile above which the fraction ``keep`` of ``among`` lies."""
     q = max(0.0, min(1.0, 1.0 - keep))
-    value = F.col(score) if among is None else F.when(among, F.col(score))
-    return df.crossJoin(F.broadcast(df.agg(F.percentile(value, F.lit(q)).alias(name))))
+    rows = (df if among is None else df.where(among)).select(F.col(score).alias("score"))
+    return df.crossJoin(F.broadcast(quantiles(rows, ["score"], [q]).select(F.col("value").alias(name))))
 
 
 def top_fraction(df: DataFrame, score: str, keep: float) -> DataFrame:
@@ -63,21 +93,38 @@ def top_fraction(df: DataFrame, score: str, keep: float) -> DataFrame:
     return quantile_cut(df, score, keep, name=PREFIX + "cut").where(F.col(score) >= F.col(PREFIX + "cut")).drop(PREFIX + "cut")
 
 
-def ranked(df: DataFrame, order: Sequence[Column], name: str = "priority_rank") -> DataFrame:
-    """Adds the 0-based rank by ``order``, which must be total.
+def numbered(df: DataFrame, order: Sequence[Column], name: str, weight: Column | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """Adds the number of rows (or the sum of ``weight``) before each row in ``order``, which must be total.
 
-    Rows are range-partitioned by the order and numbered in their partition;
-    the counts of earlier partitions, a row each, are added.
+    Rows are range-partitioned by the order once and stored with their place, so
+    that the numbers inside the partitions and the partitions' own sizes are of
+    the same split. With ``by``, the first columns of the order, numbers start
+    anew in each group; a group may span partitions.
     """
-    nth = PREFIX + "nth"
-    part = PREFIX + "part"
+    nth, part, own = PREFIX + "nth", PREFIX + "part", PREFIX + "own"
     spread = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(nth, F.monotonically_increasing_id())
-    spread = spread.withColumn(part, F.shiftright(nth, 33)).withColumn(nth, F.col(nth).bitwiseAND(F.lit((1 << 33) - 1)))
-    sizes = spread.groupBy(part).agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1))  # a row for each partition
-    sizes = sizes.select(F.col(part).alias(PREFIX + "p"), F.coalesce(before, F.lit(0)).alias(PREFIX + "before"))
-    out = spread.join(F.broadcast(sizes), F.col(part) == F.col(PREFIX + "p"))
-    return without_stats(out.withColumn(name, F.col(PREFIX + "before") + F.col(nth)))
+    spread = checkpointed(spread.withColumn(own, F.lit(1) if weight is None else weight))
+    spread = spread.withColumn(part, F.shiftright(nth, 33))
+    # a row for each partition, and for each group that shares one
+    sizes = spread.groupBy(part, *by).agg(F.sum(own).alias("n"), F.min(nth).alias("least"))
+    groups = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    before = F.sum("n").over(groups.orderBy(part).rowsBetween(Window.unboundedPreceding, -1))
+    keys = [PREFIX + "k%d" % i for i in range(len(by))]
+    sizes = sizes.select(F.col(part).alias(PREFIX + "p"), *(F.col(b).alias(k) for b, k in zip(by, keys)), F.coalesce(before, F.lit(0)).alias(PREFIX + "before"), F.col("least").alias(PREFIX + "least"))
+    match = F.col(part) == F.col(PREFIX + "p")
+    for b, k in zip(by, keys):
+        match = match & F.col(b).eqNullSafe(F.col(k))
+    out = spread.join(sizes, match)
+    if weight is None:
+        inside = F.col(nth) - F.col(PREFIX + "least")
+    else:
+        inside = F.coalesce(F.sum(own).over(Window.partitionBy(part, *by).orderBy(nth).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return without_stats(out.withColumn(name, (F.col(PREFIX + "before") + inside).cast("long")))
+
+
+def ranked(df: DataFrame, order: Sequence[Column], name: str = "priority_rank") -> DataFrame:
+    """Adds the 0-based rank by ``order``, which must be total."""
+    return numbered(df, order, name)
 
 
 def expression_strength(expressiveness: Column, intensity: Column) -> Column:
