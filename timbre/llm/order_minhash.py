@@ -27,6 +27,7 @@ unseen.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -38,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from timbre.llm.common import checkpointed, narrow
+from timbre.llm.common import LEAST_HOT, MOST_HOT, SPACE_CLASS, checkpointed, delete_path, free_shuffles, fresh_path, narrow, spread_join
 
 WORD_BREAKS = str.maketrans({c: " " for c in "\t\n\x0b\x0c\r"})
 
@@ -56,8 +57,10 @@ class NearRule:
 
 #: Cells of the counts that order k-mers; any order gives the same links, a better one fewer pairs.
 CELLS = 1 << 18
-#: Rows of a k-mer that meet in one task, of its lesser classes and of all.
-BLOCK, SPREAD = 256, 8
+#: Rows of a k-mer's lesser classes that meet in one task; sixteen times as many of all its rows do.
+BLOCK = 256
+#: Links of one task of the components.
+FOREST = 250_000
 
 
 def words_of(text: str | None) -> list[str]:
@@ -121,7 +124,6 @@ def matched_kmers(a: list[int], b: list[int], band: int) -> int:
     tail = 0
     while tail < n - head and a[-1 - tail] == b[-1 - tail]:
         tail += 1
-    shift = len(b) - len(a)
     a, b = a[head : len(a) - tail], b[head : len(b) - tail]
     places: dict[int, int] = {}
     for j, x in enumerate(b):
@@ -149,26 +151,37 @@ def similar(a: np.ndarray, b: np.ndarray, least: float) -> bool:
     return matched_kmers(x, y, int(len(b) - need + 1e-9)) >= need - 1e-9
 
 
-def sketcher(rule: NearRule) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [buckets_of(kmers_of(words_of(t.as_py()), rule.words), rule) for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))], names=["id", "print", "buckets"])
+PREPARED = "id long, print binary, buckets array<long>, kmers binary"
 
-    return run
 
+def preparer(rule: NearRule) -> Callable:
+    """Texts to the digest of their words, their buckets, and their k-mers in order.
 
-def kmer_writer(rule: NearRule) -> Callable:
-    """Texts to their k-mers, of which half of the hash is enough to align two texts."""
+    Half of a k-mer's hash is enough to align two texts.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [x.split()[0] for x in PREPARED.split(", ")]
         for batch in batches:
-            packed = [(kmers_of(words_of(t.as_py()), rule.words) >> np.uint64(32)).astype(np.uint32).tobytes() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["id", "kmers"])
+            prints, buckets, kmers = [], [], []
+            for text in batch.column(1):
+                words = words_of(text.as_py())
+                found = kmers_of(words, rule.words)
+                prints.append(hashlib.sha256(" ".join(words).encode()).digest()[:16])
+                buckets.append(buckets_of(found, rule))
+                kmers.append((found >> np.uint64(32)).astype(np.uint32).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.binary()), pa.array(buckets, pa.list_(pa.int64())), pa.array(kmers, pa.binary())], names=names)
 
     return run
 
 
+def prepared(docs: DataFrame, rule: NearRule) -> tuple[DataFrame, str]:
+    """The table of PREPARED for all rows of ``docs`` that have an id, written once, and its path."""
+    path = fresh_path(docs.sparkSession, "near")
+    docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(preparer(rule), PREPARED).write.parquet(path)
+    return docs.sparkSession.read.parquet(path), path
+
+
 def verifier(rule: NearRule) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -178,23 +191,20 @@ def verifier(rule: NearRule) -> Callable:
     return run
 
 
-def word_print(text: Column) -> Column:
-    """Digest of the words, whatever stands between them."""
-    return F.sha2(F.btrim(F.regexp_replace(F.coalesce(text, F.lit("")), "[ \\x09-\\x0D]+", " "), F.lit(" ")), 256)
-
-
-def text_classes(docs: DataFrame) -> DataFrame:
-    """(doc_id, print, first): documents, the digest of their words, and the least id of that digest."""
-    prints = docs.where("doc_id is not null").select("doc_id", word_print(F.col("text")).alias("print"))
-    prints = checkpointed(prints.groupBy("doc_id").agg(F.min("print").alias("print")))
-    firsts = checkpointed(prints.groupBy("print").agg(F.min("doc_id").alias("first")))
-    return checkpointed(prints.join(firsts, "print").select("doc_id", "print", "first"))
+def text_classes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, first): documents and the least id with their words; (first, print, n): distinct texts."""
+    prints = checkpointed(rows.groupBy("id").agg(F.min("print").alias("print")))
+    firsts = checkpointed(prints.groupBy("print").agg(F.min("id").alias("first"), F.count("*").alias("n")))
+    again = firsts.where("n > 1").select(F.col("print").alias("p"), "first", "n")
+    joined = spread_join(prints, again, "print", "p", "n", prints.count(), F.xxhash64("id"), "left")
+    return joined.select(F.col("id").alias("doc_id"), F.coalesce("first", "id").alias("first")), firsts
 
 
 def star_pairs(members: DataFrame) -> DataFrame:
     """(u, v, key): each member of a bucket with the bucket's least id."""
-    least = checkpointed(members.groupBy("key").agg(F.min("id").alias("u"), F.max("id").alias("most")).where("u < most").select("key", "u"))
-    return members.join(least, "key").where("id > u").select("u", F.col("id").alias("v"), "key")
+    least = checkpointed(members.groupBy("key").agg(F.min("id").alias("u"), F.max("id").alias("most"), F.count("*").alias("n")).where("u < most").select(F.col("key").alias("k"), "u", "n"))
+    total = least.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return spread_join(members, least, "key", "k", "n", total, F.xxhash64("id")).where("id > u").select("u", F.col("id").alias("v"), "key")
 
 
 def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -205,19 +215,19 @@ def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return both.where(F.coalesce("lroot", "u") != F.coalesce("rroot", "v")).select("u", "v", "key")
 
 
-def kmers_for(docs: DataFrame, firsts: DataFrame, pairs: DataFrame, rule: NearRule) -> DataFrame:
-    """(id, kmers) of the texts that are in some pair, one row each."""
-    used = pairs.select(F.col("u").alias("id")).unionByName(pairs.select(F.col("v").alias("id"))).distinct()
-    used = checkpointed(used.join(firsts, "id").select(F.col("id").alias("uid"), F.col("print").alias("uprint")))
-    texts = docs.join(used, F.col("doc_id") == F.col("uid")).where(word_print(F.col("text")) == F.col("uprint"))
-    return checkpointed(texts.select("doc_id", "text").mapInArrow(kmer_writer(rule), "id long, kmers binary").groupBy("id").agg(F.first("kmers").alias("kmers")))
-
-
 def verified(pairs: DataFrame, kmers: DataFrame, rule: NearRule) -> DataFrame:
-    """(u, v, alike) of distinct pairs; the k-mers of both sides are fetched by id."""
-    left = kmers.select(F.col("id").alias("u"), F.col("kmers").alias("ku"))
-    right = kmers.select(F.col("id").alias("v"), F.col("kmers").alias("kv"))
-    full = pairs.select("u", "v").distinct().join(right, "v").join(left, "u").select("u", "v", "ku", "kv")
+    """(u, v, alike) of ``pairs``, which are distinct; the k-mers of both sides are fetched by id, those of a hub to several tasks."""
+    hubs = checkpointed(pairs.groupBy("u").agg(F.count("*").alias("n")))
+    total = hubs.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    left = hubs.join(kmers, F.col("u") == F.col("id")).select(F.col("u").alias("hub"), F.col("kmers").alias("ku"), "n")
+    right = pairs.join(kmers, F.col("v") == F.col("id")).select("u", "v", F.col("kmers").alias("kv"))
+    # the hubs that are hot are found from their counts alone
+    limit = max(LEAST_HOT, total // MOST_HOT)
+    lots = F.ceil(F.col("n") / limit).cast("int")
+    hot = F.broadcast(hubs.where(F.col("n") > limit).select(F.col("u").alias("h"), lots.alias("lots")))  # MOST_HOT rows at most
+    right = right.join(hot, F.col("u") == F.col("h"), "left").withColumn("lot", F.coalesce(F.pmod(F.xxhash64("v"), F.col("lots")), F.lit(0)).cast("int"))
+    left = left.withColumn("copy", F.explode(F.when(F.col("n") > limit, F.sequence(F.lit(0), lots - 1)).otherwise(F.array(F.lit(0)))))
+    full = right.join(left, (F.col("u") == F.col("hub")) & (F.col("lot") == F.col("copy"))).select("u", "v", "ku", "kv")
     return checkpointed(full.mapInArrow(verifier(rule), "u long, v long, alike boolean"))
 
 
@@ -251,27 +261,32 @@ def prefix_writer(sent, rule: NearRule) -> Callable:
         counts = sent.value
         for batch in batches:
             parts = []
-            for i, packed in zip(*(c.to_pylist() for c in batch.columns)):
+            for i, root, packed in zip(*(c.to_pylist() for c in batch.columns)):
                 marks = marks_of(packed)
                 n, (short, long) = len(marks), prefix_lengths(len(marks), rule.similarity)
                 first = marks[np.lexsort((marks, counts[cells_of(marks)]))[:long]]
                 at = np.arange(len(first))
-                parts.append((first.view(np.int64), np.full(len(first), i), np.full(len(first), n), at, at < short))
+                parts.append((first.view(np.int64), np.full(len(first), i), np.full(len(first), root), np.full(len(first), n), at, at < short))
             if parts:
                 columns = [np.concatenate(c) for c in zip(*parts)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["mark", "id", "size", "at", "short"])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["mark", "id", "root", "size", "at", "short"])
 
     return run
 
 
-def prefixes_of(members: DataFrame, rule: NearRule) -> DataFrame:
-    """(mark, id, size, at, short): the k-mers of the prefixes of ``members`` (id, kmers)."""
-    spark = members.sparkSession
+def cell_counts(members: DataFrame):
+    """The broadcast counts of the k-mers' cells: a number for each of ``CELLS`` cells."""
     counts = np.zeros(CELLS, np.int64)
     rows = members.select("kmers").mapInArrow(cell_counter, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
     counts[rows.cell.to_numpy(np.int64)] = rows.n.to_numpy(np.int64)
-    sent = spark.sparkContext.broadcast(counts)
-    return checkpointed(members.select("id", "kmers").mapInArrow(prefix_writer(sent, rule), "mark long, id long, size long, at long, short boolean"))
+    return members.sparkSession.sparkContext.broadcast(counts)
+
+
+def prefixes_of(members: DataFrame, roots: DataFrame, sent, rule: NearRule) -> DataFrame:
+    """(mark, id, root, size, at, short): the k-mers of the prefixes of ``members`` (id, kmers)."""
+    known = roots.select(F.col("id").alias("rid"), "root")
+    rows = members.join(known, F.col("id") == F.col("rid"), "left").select("id", F.coalesce("root", "id").alias("root"), "kmers")
+    return rows.mapInArrow(prefix_writer(sent, rule), "mark long, id long, root long, size long, at long, short boolean")
 
 
 def can_link(rule: NearRule) -> Column:
@@ -305,10 +320,11 @@ def cross_pairs(prefixes: DataFrame, rule: NearRule) -> DataFrame:
     Of a mark's rows, those outside its greatest class meet all rows of other
     classes: pairs within a class are never formed. Both sides are dealt in blocks.
     """
+    prefixes = checkpointed(prefixes)
     classes = prefixes.groupBy("mark", "root").agg(F.count("*").alias("n")).groupBy("mark").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("all"), F.count("*").alias("roots")).where("roots > 1")
-    blocks = classes.select(F.col("mark").alias("m"), F.col("top.root").alias("top"), F.ceil((F.col("all") - F.col("top.n")) / BLOCK).alias("few"), F.ceil(F.col("all") / (16 * BLOCK)).alias("many"))
-    blocks = checkpointed(blocks.withColumn("lot", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)))))
-    dealt = checkpointed(prefixes.join(blocks, (F.col("mark") == F.col("m")) & (F.pmod(F.xxhash64("id"), F.lit(SPREAD)) == F.col("lot"))).drop("m", "lot"))
+    blocks = checkpointed(classes.select(F.col("mark").alias("m"), F.col("top.root").alias("top"), "all", F.ceil((F.col("all") - F.col("top.n")) / BLOCK).alias("few"), F.ceil(F.col("all") / (16 * BLOCK)).alias("many")))
+    total = blocks.agg(F.coalesce(F.sum("all"), F.lit(0))).first()[0]
+    dealt = spread_join(prefixes, blocks, "mark", "m", "all", total, F.xxhash64("id"))
     deal = lambda n, seed: F.pmod(F.xxhash64("id", F.lit(seed)), F.col(n))
     to_all = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     left = side(dealt.where("root != top").withColumn("x", deal("few", 1)).withColumn("y", to_all("many")), "l", "x", "y")
@@ -316,61 +332,96 @@ def cross_pairs(prefixes: DataFrame, rule: NearRule) -> DataFrame:
     return pairs_of(left.join(right, (F.col("lmark") == F.col("rmark")) & (F.col("lx") == F.col("rx")) & (F.col("ly") == F.col("ry")) & can_link(rule)))
 
 
-def rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
-    return checkpointed(rows.drop("root").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")))
-
-
-def links(docs: DataFrame, firsts: DataFrame, rule: NearRule) -> DataFrame:
-    """(u, v): verified links among the texts of ``firsts`` (id, print)."""
-    rows = docs.where("doc_id is not null").select("doc_id", word_print(F.col("text")).alias("print"), "text")
-    sketches = rows.mapInArrow(sketcher(rule), "id long, print string, buckets array<long>")
-    sketches = checkpointed(sketches.join(firsts, ["id", "print"], "left_semi").groupBy("id").agg(F.first("buckets").alias("buckets")))
-    members = sketches.select("id", F.posexplode("buckets").alias("s", "b")).select("id", F.xxhash64("s", "b").alias("key"))
-    pairs = checkpointed(star_pairs(members))
-    kmers = kmers_for(docs, firsts, pairs, rule)
-    checks = verified(pairs, kmers, rule)
+def links(rows: DataFrame, firsts: DataFrame, rule: NearRule) -> DataFrame:
+    """(u, v): verified links among the distinct texts ``firsts`` of ``rows`` (PREPARED)."""
+    texts = firsts.select(F.col("first").alias("fid"), F.col("print").alias("fprint"))
+    ours = (F.col("id") == F.col("fid")) & (F.col("print") == F.col("fprint"))
+    members = rows.select("id", "print", "buckets").join(texts, ours).dropDuplicates(["id", "print"]).select("id", F.posexplode("buckets").alias("s", "b"))
+    pairs = checkpointed(star_pairs(members.select("id", F.xxhash64("s", "b").alias("key"))))
+    used = pairs.select(F.explode(F.array("u", "v")).alias("uid")).distinct()
+    kmers = rows.select("id", "print", "kmers").join(texts, ours).dropDuplicates(["id", "print"])
+    kmers = checkpointed(kmers.join(used, F.col("id") == F.col("uid"), "left_semi").select("id", "kmers"))
+    checks = verified(pairs.select("u", "v").distinct(), kmers, rule)
     found = checks.where("alike").select("u", "v")
+    free_shuffles(rows.sparkSession)
     # all members of the buckets that are of several classes so far
     roots = components(found)
-    mixed = checkpointed(apart(pairs, roots).select("key").distinct())
-    left = pairs.join(mixed, "key", "left_semi").select(F.explode(F.array("u", "v")).alias("id")).distinct()
-    prefixes = rooted(prefixes_of(checkpointed(left.join(kmers, "id")), rule), roots)
+    mixed = apart(pairs, roots).select("key").distinct()
+    left = pairs.join(mixed, "key", "left_semi").select(F.explode(F.array("u", "v")).alias("mid")).distinct()
+    held = checkpointed(kmers.join(left, F.col("id") == F.col("mid"), "left_semi"))
+    sent = cell_counts(held)
     # a few pairs of each mark first, which join most classes, so that few pairs of two classes are left for the join
     tried = checks.select("u", "v")
-    near = verified(next_pairs(prefixes, rule).join(tried, ["u", "v"], "left_anti"), kmers, rule)
+    near = verified(next_pairs(prefixes_of(held, roots, sent, rule), rule).join(tried, ["u", "v"], "left_anti"), kmers, rule)
     found = checkpointed(found.unionByName(near.where("alike").select("u", "v")))
-    prefixes, tried = rooted(prefixes, components(found)), tried.unionByName(near.select("u", "v"))
-    rest = verified(cross_pairs(prefixes, rule).join(tried, ["u", "v"], "left_anti"), kmers, rule)
+    free_shuffles(rows.sparkSession)
+    tried = tried.unionByName(near.select("u", "v"))
+    rest = verified(cross_pairs(prefixes_of(held, components(found), sent, rule), rule).join(tried, ["u", "v"], "left_anti"), kmers, rule)
     return found.unionByName(rest.where("alike").select("u", "v"))
 
 
+def forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) of a task to a star around the least id of each of its components."""
+    above: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        top = x
+        while (up := above.get(top, top)) != top:
+            top = up
+        while x != top:
+            above[x], x = top, above.get(x, x)
+        return top
+
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            x, y = root(a), root(b)
+            if x != y:
+                above[max(x, y)] = min(x, y)
+    leaves = list(above)
+    yield pa.RecordBatch.from_arrays([pa.array(leaves, pa.int64()), pa.array([root(x) for x in leaves], pa.int64())], names=["a", "b"])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, root): each linked id with the least id of its component.
 
-    Rounds of min-label propagation with a pointer jump each: labels only fall,
-    and a round without a change ends it.
+    Tasks reduce their links to stars. Then rounds: an id takes the least of its
+    parents, its other parents are linked to that one, and each takes its
+    parent's parent; a round that changes nothing ends it. A task holds
+    ``FOREST`` links, about.
     """
-    both = checkpointed(edges.select(F.col("u").alias("a"), F.col("v").alias("b")).unionByName(edges.select(F.col("v").alias("a"), F.col("u").alias("b"))).distinct())
-    labels = checkpointed(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("root")))
+    n = edges.count()
+    parts = max(4, math.ceil(n / FOREST))
+    stars = checkpointed(edges.select(F.col("v").alias("a"), F.col("u").alias("b")).coalesce(parts).mapInArrow(forest, "a long, b long"))
     while True:
-        near = both.join(labels, F.col("b") == F.col("id")).groupBy("a").agg(F.min("root").alias("m"))
-        low = labels.join(near, F.col("id") == F.col("a"), "left").select("id", F.col("root").alias("old"), F.least("root", "m").alias("root"))
-        jump = low.select(F.col("id").alias("jid"), F.col("root").alias("jroot"))
-        after = checkpointed(low.join(jump, F.col("root") == F.col("jid"), "left").select("id", "old", F.least("root", "jroot").alias("root")))
-        labels = after.select("id", "root")
-        if after.where("root < old").isEmpty():
-            return labels
+        # a task gives an id one parent, so an id has as many as there are tasks at most
+        parents = checkpointed(stars.groupBy("a").agg(F.min("b").alias("m"), F.collect_set("b").alias("all")).coalesce(parts))
+        sizes = parents.groupBy("m").agg(F.count("*").alias("n"))
+        up = sizes.join(parents.select(F.col("a").alias("pa"), F.col("m").alias("pm")), F.col("m") == F.col("pa")).select("pa", "pm", F.col("n").alias("pn"))
+        up = checkpointed(up)
+        hooks = parents.where("size(all) > 1").select(F.explode("all").alias("a"), F.col("m").alias("b")).where("a > b")
+        if up.isEmpty() and hooks.isEmpty():
+            return parents.select(F.col("a").alias("id"), F.col("m").alias("root"))
+        moved = spread_join(parents.select("a", "m"), up, "m", "pa", "pn", n, F.xxhash64("a"), "left").select("a", F.coalesce("pm", "m").alias("b"))
+        stars = checkpointed(moved.unionByName(hooks).coalesce(parts).mapInArrow(forest, "a long, b long"))
+
+
+def word_print(text: Column) -> Column:
+    """Digest of the words, in the order of the prints of PREPARED."""
+    return F.sha2(F.btrim(F.regexp_replace(F.coalesce(text, F.lit("")), SPACE_CLASS + "+", " "), F.lit(" ")), 256)
 
 
 def near_classes(docs: DataFrame, rule: NearRule = NearRule()) -> DataFrame:
     """(doc_id, class_id): every document with the least id of its class."""
     rows = narrow(docs, doc_id="doc_id", text="text")
-    classes = text_classes(rows)
-    firsts = classes.where("doc_id = first").select(F.col("doc_id").alias("id"), "print")
-    found = checkpointed(links(rows, firsts, rule))
-    marks = components(found).withColumnRenamed("id", "linked")
-    out = classes.join(marks, F.col("first") == F.col("linked"), "left")
-    out = out.select("doc_id", F.coalesce("root", "first").alias("class_id"))
+    ready, path = prepared(rows, rule)
+    classes, firsts = text_classes(ready)
+    marks = checkpointed(components(checkpointed(links(ready, firsts, rule))).withColumnRenamed("id", "linked"))
+    # a class's text may have many copies: the root is looked up by distinct text, whose copies are counted
+    copies = firsts.select(F.col("first").alias("f"), "n")
+    moved = checkpointed(marks.join(copies, F.col("linked") == F.col("f")).select("linked", "root", F.col("n").alias("copies")))
+    out = spread_join(classes, moved, "first", "linked", "copies", firsts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], F.xxhash64("doc_id"), "left")
+    out = checkpointed(out.select("doc_id", F.coalesce("root", "first").alias("class_id")))
+    delete_path(docs.sparkSession, path)
     nameless = rows.where("doc_id is null").select("doc_id", F.col("doc_id").alias("class_id"))
     return out.unionByName(nameless)
 
@@ -383,5 +434,7 @@ def keep_one(docs: DataFrame, rule: NearRule = NearRule()) -> DataFrame:
     kept = near_classes(docs, rule).where("doc_id = class_id").select(F.col("doc_id").alias("kept_id"))
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     one = rows.join(kept, F.col("row.doc_id") == F.col("kept_id"), "left_semi")
-    nth = F.row_number().over(Window.partitionBy("row.doc_id").orderBy(word_print(F.col("row.text")), F.xxhash64("row")))
+    one = one.select("row", F.count("*").over(Window.partitionBy("row.doc_id")).alias("same"))
+    place = F.when(F.col("same") > 1, word_print(F.col("row.text")))
+    nth = F.row_number().over(Window.partitionBy("row.doc_id").orderBy(place, F.xxhash64("row")))
     return one.select("row", nth.alias("nth")).where("nth = 1").select("row").unionByName(rows.where("row.doc_id is null")).select("row.*")

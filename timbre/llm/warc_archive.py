@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timbre.llm.common import checkpointed, fresh_path, narrow
+from timbre.llm.common import checkpointed, delete_path, fresh_path, narrow
 
 MIN_REVISIT = 100
 #: Records of one archive file, so that a file fits a task and chains are short.
@@ -155,11 +155,6 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     return joined.select("page_id", full("full_bytes", "payload_bytes"), full("full_digest", "payload_digest"), "record_type", "refers_to", "url")
 
 
-def delete_path(spark: SparkSession, path: str) -> None:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-
-
 def archive_round_trip(pages: DataFrame) -> DataFrame:
     """Writes an archive of ``pages`` into the shared folder, reads it back and drops it."""
     spark = pages.sparkSession
