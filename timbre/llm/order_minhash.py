@@ -39,7 +39,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from timbre.llm.common import LEAST_HOT, MOST_HOT, SPACE_CLASS, checkpointed, delete_path, free_shuffles, fresh_path, narrow, spread_join
+from timbre import store
+from timbre.llm.common import LEAST_HOT, MOST_HOT, SPACE_CLASS, delete_path, free_shuffles, fresh_path, narrow, spread_join
 
 WORD_BREAKS = str.maketrans({c: " " for c in "\t\n\x0b\x0c\r"})
 
@@ -63,6 +64,14 @@ BLOCK = 256
 FOREST = 250_000
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """A checkpoint, after which the driver lets go of the plans and shuffle files that it cut off."""
+    out = store.checkpointed(df)
+    del df
+    free_shuffles(out.sparkSession)
+    return out
+
+
 def words_of(text: str | None) -> list[str]:
     """Words between ASCII white space (others, such as a no-break space, belong to words)."""
     return [w for w in (text or "").translate(WORD_BREAKS).split(" ") if w]
@@ -343,7 +352,6 @@ def links(rows: DataFrame, firsts: DataFrame, rule: NearRule) -> DataFrame:
     kmers = checkpointed(kmers.join(used, F.col("id") == F.col("uid"), "left_semi").select("id", "kmers"))
     checks = verified(pairs.select("u", "v").distinct(), kmers, rule)
     found = checks.where("alike").select("u", "v")
-    free_shuffles(rows.sparkSession)
     # all members of the buckets that are of several classes so far
     roots = components(found)
     mixed = apart(pairs, roots).select("key").distinct()
@@ -354,7 +362,6 @@ def links(rows: DataFrame, firsts: DataFrame, rule: NearRule) -> DataFrame:
     tried = checks.select("u", "v")
     near = verified(next_pairs(prefixes_of(held, roots, sent, rule), rule).join(tried, ["u", "v"], "left_anti"), kmers, rule)
     found = checkpointed(found.unionByName(near.where("alike").select("u", "v")))
-    free_shuffles(rows.sparkSession)
     tried = tried.unionByName(near.select("u", "v"))
     rest = verified(cross_pairs(prefixes_of(held, components(found), sent, rule), rule).join(tried, ["u", "v"], "left_anti"), kmers, rule)
     return found.unionByName(rest.where("alike").select("u", "v"))
