@@ -84,16 +84,28 @@ def test_quality_rules(spark, docs, labels):
 
 
 def test_quality_ratio_against_counts(spark):
-    rule = quality_rules.RatioRule(buckets=1 << 12, smoothing=2.0, min_words=2)
+    rule = quality_rules.RatioRule(buckets=(1 << 12, 1 << 12), smoothing=(2.0, 3.0), min_words=2)
     rows = [(1, "a b a c"), (2, "a d d e"), (3, "x y x z")]
     docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
-    bag = lambda t: (w := t.split()) and [(x,) for x in w] + list(zip(w, w[1:]))
-    raw, good = Counter(g for _, t in rows for g in bag(t)), Counter(bag(rows[0][1]))
-    n_raw, n_good = sum(raw.values()), sum(good.values())
+    orders = (lambda t: t.split(), lambda t: list(zip(t.split(), t.split()[1:])))
+    want = defaultdict(list)
+    for bag, s in zip(orders, rule.smoothing):
+        raw, good = Counter(g for _, t in rows for g in bag(t)), Counter(bag(rows[0][1]))
+        n, m, cells = sum(raw.values()), sum(good.values()), rule.buckets[0]
+        for i, t in rows:  # two multinomials, the trusted one smoothed at the corpus rate
+            want[i] += [np.log((good[g] + s * m / n) / (m + s * m / n * cells)) - np.log((raw[g] + s) / (n + s * cells)) for g in bag(t)]
     for r in quality_rules.quality_report(docs, labels, rule).collect():
-        grams = bag(dict(rows)[r.doc_id])
-        want = np.mean([np.log((good[g] * n_raw / n_good + 2.0) / (raw[g] - 1 + 2.0)) for g in grams])
-        assert abs(r.mean_ratio - want) < 1e-9
+        assert abs(r.mean_ratio - np.mean(want[r.doc_id])) < 1e-9
+
+
+def test_quality_drops_random_strings(spark, docs):
+    rng = random.Random(9)
+    prose = [(1000 + i, document(rng, 90)) for i in range(200)]
+    noise = [(5000 + i, " ".join("".join(rng.choice("bcdfgxyz0189") for _ in range(7)) for _ in range(100))) for i in range(5)]
+    rows = spark.createDataFrame(prose + noise, "doc_id long, text string")
+    good = spark.createDataFrame([(1000 + i, 1, 0) for i in range(0, 200, 2)], "doc_id long, quality int, toxic int")
+    kept = {r.doc_id for r in quality_rules.quality_report(rows, good).where("kept").collect()}
+    assert not any(i in kept for i, _ in noise) and sum(i in kept for i, _ in prose) > 190
 
 
 # --- line dedup ---
@@ -219,27 +231,67 @@ def test_near_copies_around_a_shared_passage(spark):
 # --- mixing ---
 
 
+def scheduled(rows, share, frame, block):
+    """The whole schedule by a literal queue: (doc_id, slot, position) with each source's documents in the given order."""
+    queues = {s: [ids[i : i + block] for i in range(0, len(ids), block)] for s, ids in rows.items()}
+    out, slot, done = [], 0, dict.fromkeys(queues, 0)
+    slots = {}
+    while len(slots) < frame:
+        ready = [s for s in share if done[s] * frame // share[s] <= slot]
+        s = min(ready, key=lambda s: (-(-(done[s] + 1) * frame // share[s]), s))
+        slots[slot] = (s, done[s])
+        done[s] += 1
+        slot += 1
+    placed = []
+    for s, blocks in queues.items():
+        turns = {turn: at for at, (name, turn) in slots.items() if name == s}
+        placed += [(j // share[s] * frame + turns[j % share[s]], s, b) for j, b in enumerate(blocks)]
+    for slot, s, b in sorted(placed):
+        out += [(i, slot) for i in b]
+    return out
+
+
 def test_mix(spark, docs):
-    rule = source_mix.MixRule(frame=64, block_rows=3, weights={"s0": 1, "s1": 2, "s2": 5})
+    rule = source_mix.MixRule(block_rows=3, weights={"s0": 1, "s1": 2, "s2": 5})
     out = sorted(source_mix.mix_report(docs, rule).collect(), key=lambda r: r.position)
     assert [r.position for r in out] == list(range(docs.count()))
     assert Counter(r.doc_id for r in out) == Counter(r.doc_id for r in docs.collect())
     assert all(r.release <= r.slot < r.deadline for r in out)
     blocks = sorted({(r.slot, r.source) for r in out})
     assert len({s for s, _ in blocks}) == len(blocks)
+    share, frame = {r.source: r.share for r in out}, out[0].frame
+    assert sum(share.values()) == frame
+    target = {"": 1 / 9, "s0": 1 / 9, "s1": 2 / 9, "s2": 5 / 9}
+    assert all(abs(share[s] / frame - target[s]) < 1 / frame for s in share)
+    # the literal schedule over each source's documents in the order that the operator gives them
+    order = defaultdict(list)
+    for r in out:
+        order[r.source].append(r.doc_id)
+    assert [(r.doc_id, r.slot) for r in out] == scheduled(order, share, frame, 3)
     # less than one block off the target in every prefix until a source has run out
-    share = {r.cls: r.share for r in source_mix.shares(docs.select(F.coalesce("source", F.lit("")).alias("cls")).groupBy("cls").agg(F.count("*").alias("n")), rule).collect()}
-    assert sum(share.values()) == rule.frame
-    on = {r.slot for r in out if r.on_target}
-    served = Counter()
+    on, served = {r.slot for r in out if r.on_target}, Counter()
     for slot, source in blocks:
         if slot not in on:
             break
         served[source] += 1
-        assert all(abs(served[s] - (slot + 1) * share[s] / rule.frame) < 1 for s in share)
+        assert all(abs(served[s] - (slot + 1) * share[s] / frame) < 1 for s in share)
     mixed = source_mix.mix_sources(docs, rule)
     assert mixed.columns == docs.columns and mixed.count() == docs.count()
     assert source_mix.mix_report(empty(spark, docs), rule).count() == 0
+    nameless = docs.select(F.lit(None).cast("long").alias("doc_id"), "source")
+    assert sorted(r.position for r in source_mix.mix_report(nameless, rule).collect()) == list(range(docs.count()))
+
+
+def test_mix_of_many_sources(spark):
+    """600 sources, one of which is to have nine tenths of the mix; the frame grows until the least weight is a slot."""
+    rows = [(i, "big") for i in range(4000)] + [(4000 + i, f"s{i % 599}") for i in range(1200)]
+    weights = {"big": 0.9} | {f"s{i}": 0.1 / 599 for i in range(599)}
+    out = source_mix.mix_report(spark.createDataFrame(rows, "doc_id long, source string"), source_mix.MixRule(block_rows=2, weights=weights)).toPandas().sort_values("position")
+    assert list(out.position) == list(range(len(rows))) and out.frame.iloc[0] >= 5990
+    big = (out.source == "big").cumsum()
+    for n in (500, 1000, 2000):
+        assert abs(big.iloc[n - 1] / n - 0.9) < 0.01
+    assert ((out.release <= out.slot) & (out.slot < out.deadline)).all()
 
 
 # --- packing ---

@@ -1,7 +1,7 @@
 """Quality rules: word statistics and a hashed n-gram log-likelihood ratio.
 
-Every document gets the mean log-likelihood ratio of its hashed uni- and
-bigrams between two multinomials, one of trusted documents and one of the whole
+Every document gets the mean log-likelihood ratio of its hashed words and pairs
+of words between two multinomials, one of trusted documents and one of the whole
 corpus. Documents that fail the word rules, or whose ratio is below a fixed
 threshold, aren't kept. All of it is built from DataFrame functions.
 
@@ -26,17 +26,19 @@ from timbre.llm.common import SPACE_CHARS, SPACE_CLASS
 class RatioRule:
     """Parameters of the ratio.
 
-    buckets: hash buckets of the two multinomials.
+    buckets: hash buckets of words and of pairs of words.
     trusted_rows: bound on the labelled rows that the trusted multinomial is
         fitted on (those of the smallest id hash); corpus counts have no bound.
-    smoothing: corpus n-grams that a bucket is taken to hold besides, at the corpus rate.
+    smoothing: n-grams that each bucket of words and of pairs is taken to hold
+        besides in the corpus, and as many at the corpus rate in the trusted
+        texts. Most pairs are new in a small corpus, so theirs is greater.
     threshold: least mean log ratio per n-gram (nats) of a kept document.
     """
 
-    buckets: int = 16384
+    buckets: tuple[int, int] = (1 << 19, 1 << 16)
     trusted_rows: int = 20000
-    smoothing: float = 16.0
-    threshold: float = -0.05
+    smoothing: tuple[float, float] = (1.0, 16.0)
+    threshold: float = -0.2
     min_words: int = 50
     max_repeat_percent: int = 50
 
@@ -47,12 +49,12 @@ def words_of(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, f"{SPACE_CLASS}+"))
 
 
-def ngram_buckets(words: Column, count: Column, buckets: int) -> Column:
-    """Bucket of each unigram, then of each bigram."""
-    fold = lambda *c: F.pmod(F.xxhash64(*c), F.lit(buckets)).cast("int")
+def ngram_buckets(words: Column, count: Column, buckets: tuple[int, int]) -> Column:
+    """Bucket of each word, then of each pair of words, which are behind those of words."""
+    fold = lambda n, *c: F.pmod(F.xxhash64(*c), F.lit(n)).cast("int")
     empty = F.array().cast("array<int>")
-    one = F.transform(words, lambda w: fold(w))
-    two = F.when(count > 1, F.transform(F.sequence(F.lit(1), count - 1), lambda i: fold(F.get(words, i - 1), F.get(words, i))))
+    one = F.transform(words, lambda w: fold(buckets[0], w))
+    two = F.when(count > 1, F.transform(F.sequence(F.lit(1), count - 1), lambda i: fold(buckets[1], F.get(words, i - 1), F.get(words, i)) + F.lit(buckets[0])))
     return F.concat(one, F.coalesce(two, empty))
 
 
@@ -74,14 +76,19 @@ def ratio_weights(docs: DataFrame, labels: DataFrame, rule: RatioRule) -> DataFr
     bags = bags.join(good, F.col("__id") == F.col("__good"), "left")
     bags = bags.select(F.explode(ngram_buckets(F.col("__w"), F.size("__w"), rule.buckets)).alias("b"), F.col("__good").isNotNull().cast("long").alias("t"))
     counts = bags.groupBy("b").agg(F.count("*").alias("raw"), F.sum("t").alias("good"))
-    cells = docs.sparkSession.range(rule.buckets).select(F.col("id").cast("int").alias("b"))
+    cells = docs.sparkSession.range(sum(rule.buckets)).select(F.col("id").cast("int").alias("b"))
     cells = cells.join(counts, "b", "left").select("b", F.coalesce("raw", F.lit(0)).alias("raw"), F.coalesce("good", F.lit(0)).alias("good"))
-    packed = cells.agg(F.sort_array(F.collect_list(F.struct("b", "raw", "good"))).alias("c"), F.sum("raw").alias("n_raw"), F.sum("good").alias("n_good"))
-    # a text's own n-gram doesn't count against it, and an n-gram that no other text has is neutral
-    scale = F.col("n_raw") / F.col("n_good")
-    other = lambda x: F.greatest(x["raw"] - 1, F.lit(0)) + F.lit(rule.smoothing)
-    weight = F.transform("c", lambda x: F.log((x["good"] * scale + F.lit(rule.smoothing)) / other(x)))
-    return packed.select(F.when(F.col("n_good") > 0, weight).otherwise(F.array_repeat(F.lit(0.0), rule.buckets)).alias("weights"))
+    word = F.col("b") < rule.buckets[0]
+    total = lambda c, order: F.sum(F.when(order, F.col(c)))
+    packed = cells.agg(
+        F.sort_array(F.collect_list(F.struct("b", "raw", "good"))).alias("c"), F.sum("good").alias("n_good"),
+        (total("raw", word) / total("good", word)).alias("scale1"), (total("raw", ~word) / total("good", ~word)).alias("scale2"),
+    )
+    # corpus: (raw + s) / (N + s * B); trusted: (good + s * n / N) / (n + s * B * n / N); n and N cancel but for the scale N / n
+    one, two = (F.lit(x) for x in rule.smoothing)
+    ratio = lambda x, scale, s: F.log((x["good"] * F.coalesce(scale, F.lit(0.0)) + s) / (x["raw"] + s))
+    weight = F.transform("c", lambda x: F.when(x["b"] < rule.buckets[0], ratio(x, F.col("scale1"), one)).otherwise(ratio(x, F.col("scale2"), two)))
+    return packed.select(F.when(F.col("n_good") > 0, weight).otherwise(F.array_repeat(F.lit(0.0), sum(rule.buckets))).alias("weights"))
 
 
 def judged(docs: DataFrame, labels: DataFrame, rule: RatioRule = RatioRule()) -> DataFrame:
