@@ -322,6 +322,69 @@ def test_packing(spark, docs):
     assert retrieval_pack.packed_pieces(empty(spark, docs), rule).count() == 0
 
 
+def packed_literally(rows, rule):
+    """The whole packing by dictionaries: (doc_id, start, length, sequence_id, offset)."""
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    texts = [(i, [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1]) for i, t in rows]
+    cut = lambda ids: len(ids) // 2048 * 2048
+    units = [ids[k : k + 2048] for _, ids in texts for k in range(0, cut(ids), 2048)] + [ids[cut(ids) :] for _, ids in texts]
+    held, n, mean = Counter(t for u in units for t in set(u)), len(units), sum(map(len, units)) / len(units)
+    idf = {t: max(0.0, np.log((n - c + 0.5) / (c + 0.5))) for t, c in held.items()}
+
+    def key(i, ids):
+        bag = Counter(ids[cut(ids) :])
+        best = sorted((-idf[t] * np.log1p(c), t) for t, c in bag.items() if idf[t] > 0)[:3]
+        terms = [t for _, t in best] + [-1] * (3 - len(best))
+        return (*terms, zlib.crc32(np.array(ids, "<u2").tobytes()), i, len(ids))
+
+    texts = sorted(texts, key=lambda x: key(*x))
+    out = []
+    for shard in range(0, len(texts), rule.shard_docs):
+        part, sequence = texts[shard : shard + rule.shard_docs], shard // rule.shard_docs << 40
+        for i, ids in part:
+            for k in range(0, cut(ids), 2048):
+                out.append((i, k, 2048, sequence, 0))
+                sequence += 1
+        spans = [[cut(ids), len(ids)] for _, ids in part]
+        bags = [Counter(ids[a:b]) for (_, ids), (a, b) in zip(part, spans)]
+        while open_ := [k for k, (a, b) in enumerate(spans) if a < b]:
+            seed, room, offset = open_[0], 2048, 0
+            score = lambda k: sum(idf[t] * bags[k][t] * 2.2 / (bags[k][t] + 1.2 * (0.25 + 0.75 * sum(bags[k].values()) / mean)) for t in bags[seed] if sum(t in b for b in bags) > 1)  # noqa: E731, B023
+            ranked = sorted(((-round(score(k), 9), k) for k in open_[1:] if round(score(k), 9) > 0))
+            follow = [seed, *(k for _, k in ranked), *(k for k in open_ if k != seed and k not in {k for _, k in ranked})]
+            for k in follow:
+                take = min(room, spans[k][1] - spans[k][0])
+                if take:
+                    out.append((part[k][0], spans[k][0], take, sequence, offset))
+                spans[k][0] += take
+                room, offset = room - take, offset + take
+            sequence += 1
+    return out
+
+
+def test_packing_against_literal(spark):
+    rng = random.Random(8)
+    pools = [[f"topic{k}word{j}" for j in range(40)] for k in range(5)]
+    rows = [(i, " ".join(rng.choice(pools[rng.randint(0, 4)] if rng.random() < 0.2 else pools[i % 5]) for _ in range(rng.randint(20, 260)))) for i in range(90)]
+    rows += [(100, None), (101, " ".join(rng.choice(pools[0]) for _ in range(3000))), (102, rows[3][1])]
+    rule = retrieval_pack.PackRule(shard_docs=32)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(packed_literally(rows, rule))
+    for parts in (1, 5):
+        out = retrieval_pack.packed_pieces(frame.repartition(parts), rule).collect()
+        assert sorted((r.doc_id, r.start, r.length, r.sequence_id, r.offset) for r in out) == want
+
+
+def test_packing_in_a_given_order(spark):
+    rng = random.Random(2)
+    rows = [(i, document(rng, rng.randint(50, 200)), 1000 - i) for i in range(60)]
+    out = retrieval_pack.packed_pieces(spark.createDataFrame(rows, "doc_id long, text string, place long").repartition(3), retrieval_pack.PackRule(shard_docs=10), "place").collect()
+    for r in out:
+        assert r.sequence_id >> 40 == (59 - r.doc_id) // 10
+    seeds = [r.doc_id for r in sorted(out, key=lambda r: r.sequence_id) if r.offset == 0 and r.sequence_id >> 40 == 0 and r.start == 0]
+    assert seeds[0] == 59
+
+
 def test_encoder_equals_tokenizer():
     path = public_tokenizers.path("word_bpe_49k.json")
     whole, fast = Tokenizer.from_file(path), retrieval_pack.WordEncoder(path)

@@ -1,23 +1,32 @@
 """Lexical retrieval packing: sequences filled with BM25 neighbours of a seed.
 
 Documents are tokenised where they are read. Whole windows of a long document
-are sequences of their own; what remains of each document is a piece. Pieces are
-dealt into index shards of bounded size by a hash. Each shard has an inverted
-index of its pieces; corpus statistics (document frequencies of the vocabulary,
-their number and mean length) cover all pieces. Seeds are taken in order; unused
-neighbours in the order of their BM25 score fill the seed's window, the last one
-cut where the window is full; its rest is again unused. Where no unused piece
-shares a query term with the seed, the next unused pieces follow, so that all
-windows but the last of a shard are full.
+are sequences of their own; what remains of each document is a piece. The BM25
+index is sharded by content: pieces are ordered by their three terms of greatest
+tf-idf, so that copies and texts of the same rare terms lie together, and every
+``shard_docs`` pieces of that order are one shard with an inverted index, at any
+size of the corpus. Corpus statistics (document frequencies of the vocabulary,
+number and mean length) cover all pieces and all whole windows. Seeds are taken
+in order; a seed asks with all of its terms; unused neighbours in the order of
+their score fill its window, the last one cut where the window is full, and its
+rest is again unused. Where no unused piece shares a term of some weight with
+the seed, the next unused pieces follow, so that all windows but the last of a
+shard are full.
+
+With ``place``, a column that numbers the rows, shards are ranges of that order
+instead, seeds are taken and sequences numbered in it, so that a mix of sources
+is that of the sequences too, and neighbours come from the same part of the mix.
+
+The result depends on the rows alone, not on their partitions.
 
 Edge cases: a null or empty text is one end token; very long texts give many
 windows; repeated rows are packed each; a null ``doc_id`` is returned as null;
-an empty table gives an empty result; only two columns are read.
+ties go by the digest of the ids, the id, then the length; an empty table gives
+an empty result; only two columns are read.
 """
 
 from __future__ import annotations
 
-import math
 import re
 import struct
 import zlib
@@ -33,20 +42,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from timbre.llm.common import checkpointed, narrow
+from timbre.llm.common import checkpointed
+from timbre.operators.scoring import numbered
 
 END = 1
 
 
 @dataclass(frozen=True)
 class PackRule:
-    """window: tokens of a sequence; shard_docs: pieces of an index shard, about;
-    query_terms: the seed's terms of greatest weight that the index is asked for;
-    k1, b: BM25's parameters; tokenizer: file with the vocabulary."""
+    """window: tokens of a sequence; shard_docs: pieces of an index shard; k1, b:
+    BM25's parameters; tokenizer: file with the vocabulary."""
 
     window: int = 2048
-    shard_docs: int = 2048
-    query_terms: int = 12
+    shard_docs: int = 1024
     k1: float = 1.2
     b: float = 0.75
     tokenizer: str = public_tokenizers.path("word_bpe_49k.json")
@@ -141,36 +149,39 @@ def crc_of(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
-TOKEN_SCHEMA = "doc_id long, doc_tokens long, whole_crcs array<long>, rest binary, salt long"
+TOKEN_SCHEMA = "doc_id long, place long, doc_tokens long, whole_crcs array<long>, whole_terms array<binary>, rest binary, salt long"
 
 
 def tokenise(rule: PackRule) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(rule.tokenizer)
+        kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.binary()), pa.binary(), pa.int64()]
         for batch in batches:
-            tokens, crcs, rests, salts = [], [], [], []
+            out = []
             for text in batch.column(1):
                 ids = encode(text.as_py() or "")
                 whole = len(ids) // rule.window * rule.window
-                tokens.append(len(ids))
-                crcs.append([crc_of(ids[i : i + rule.window]) for i in range(0, whole, rule.window)])
-                rests.append(ids[whole:].tobytes())
-                salts.append(zlib.crc32(ids.tobytes()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tokens, pa.int64()), pa.array(crcs, pa.list_(pa.int64())), pa.array(rests, pa.binary()), pa.array(salts, pa.int64())], names=["doc_id", "doc_tokens", "whole_crcs", "rest", "salt"])
+                windows = [ids[i : i + rule.window] for i in range(0, whole, rule.window)]
+                out.append((len(ids), [crc_of(w) for w in windows], [np.unique(w).tobytes() for w in windows], ids[whole:].tobytes(), zlib.crc32(ids.tobytes())))
+            columns = list(zip(*out)) or [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *(pa.array(c, k) for c, k in zip(columns, kinds))], names=[x.split()[0] for x in TOKEN_SCHEMA.split(", ")])
 
     return run
 
 
-def frequency_counter(size: int) -> Callable:
-    """In how many pieces of the task each token is, packed; and pieces and tokens."""
+def frequency_counter(size: int, window: int) -> Callable:
+    """In how many pieces and whole windows of the task each token is; and their number and tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, pieces, tokens = np.zeros(size, np.int64), 0, 0
         for batch in batches:
-            for rest in batch.column(0):
+            for rest, wholes in zip(batch.column(0), batch.column(1)):
                 ids = np.frombuffer(rest.as_py(), "<u2")
                 pieces, tokens = pieces + 1, tokens + len(ids)
                 found[np.unique(ids)] += 1
+                for terms in wholes.as_py():
+                    pieces, tokens = pieces + 1, tokens + window
+                    found[np.frombuffer(terms, "<u2")] += 1
         used = np.flatnonzero(found)
         token = np.r_[-1, -2, used]
         yield pa.RecordBatch.from_arrays([pa.array(token, pa.int32()), pa.array(np.r_[pieces, tokens, found[used]], pa.int64())], names=["token", "n"])
@@ -178,9 +189,9 @@ def frequency_counter(size: int) -> Callable:
     return run
 
 
-def corpus_frequencies(pieces: DataFrame, size: int) -> tuple[np.ndarray, int, int]:
-    """Pieces that hold each token, pieces, tokens: a row for each token of the vocabulary at most."""
-    rows = pieces.select("rest").mapInArrow(frequency_counter(size), "token int, n long").groupBy("token").agg(F.sum("n").alias("n")).toPandas()
+def corpus_frequencies(pieces: DataFrame, size: int, window: int) -> tuple[np.ndarray, int, int]:
+    """Pieces and windows that hold each token, their number, tokens: a row for each token of the vocabulary at most."""
+    rows = pieces.select("rest", "whole_terms").mapInArrow(frequency_counter(size, window), "token int, n long").groupBy("token").agg(F.sum("n").alias("n")).toPandas()
     counts = dict(zip(rows.token, rows.n))
     out = np.zeros(size, np.int64)
     for token, n in counts.items():
@@ -189,6 +200,32 @@ def corpus_frequencies(pieces: DataFrame, size: int) -> tuple[np.ndarray, int, i
     return out, int(counts.get(-1, 0)), int(counts.get(-2, 0))
 
 
+def term_weights(held: np.ndarray, n: int) -> np.ndarray:
+    """BM25's idf; a term that half of the pieces or more hold weighs nothing."""
+    return np.maximum(np.log((n - held + 0.5) / (held + 0.5)), 0.0)
+
+
+TERM_SCHEMA = "piece long, salt long, doc_id long, doc_tokens long, t1 int, t2 int, t3 int"
+
+
+def leading_terms(sent) -> Callable:
+    """The three tokens of greatest tf-idf of each piece; ties go to the lower token, -1 stands for none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        idf, _ = sent.value
+        for batch in batches:
+            out = np.full((batch.num_rows, 3), -1, np.int32)
+            for i, rest in enumerate(batch.column(4)):
+                terms, counts = np.unique(np.frombuffer(rest.as_py(), "<u2"), return_counts=True)
+                weight = idf[terms] * np.log1p(counts)
+                best = np.argsort(-weight, kind="stable")[:3]
+                best = best[weight[best] > 0]
+                out[i, : len(best)] = terms[best]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], *(pa.array(out[:, k]) for k in range(3))], names=[x.split()[0] for x in TERM_SCHEMA.split(", ")])
+
+    return run
+
+
 PIECE_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -199,24 +236,21 @@ class ShardIndex:
         lengths = np.array([len(p) for p in pieces])
         at = np.repeat(np.arange(len(pieces)), lengths)
         joined = np.concatenate(pieces).astype(np.int64) if len(pieces) else np.zeros(0, np.int64)
-        pairs, counts = np.unique(joined * len(pieces) + at, return_counts=True)
+        weighty = idf[joined] > 0
+        pairs, counts = np.unique(joined[weighty] * len(pieces) + at[weighty], return_counts=True)
         self.piece, token = (pairs % max(1, len(pieces))).astype(np.int64), pairs // max(1, len(pieces))
         scale = rule.k1 * (1 - rule.b + rule.b * lengths[self.piece] / mean_length)
         self.weight = idf[token] * counts * (rule.k1 + 1) / (counts + scale)
         self.starts = np.searchsorted(token, np.arange(len(idf) + 1))
-        self.idf, self.n, self.terms = idf, len(pieces), rule.query_terms
+        self.n = len(pieces)
 
     def scores(self, seed: np.ndarray) -> np.ndarray:
-        """BM25 score of every piece for the seed's terms of greatest tf-idf; ties go to the lower token."""
-        terms, counts = np.unique(seed, return_counts=True)
-        held = (self.starts[terms.astype(np.int64) + 1] - self.starts[terms]) > 1
-        terms, counts = terms[held].astype(np.int64), counts[held]
-        best = terms[np.argsort(-(np.log1p(counts) * self.idf[terms]), kind="stable")[: self.terms]]
-        out = np.zeros(self.n)
-        for t in best:
-            a, b = self.starts[t], self.starts[t + 1]
-            out[self.piece[a:b]] += self.weight[a:b]  # a piece is once in a token's postings
-        return out
+        """BM25 score of every piece for all of the seed's terms."""
+        terms = np.unique(seed).astype(np.int64)
+        low, sizes = self.starts[terms], self.starts[terms + 1] - self.starts[terms]
+        low, sizes = low[sizes > 1], sizes[sizes > 1]  # the seed itself is one
+        at = np.arange(sizes.sum()) + np.repeat(low - np.r_[0, np.cumsum(sizes)[:-1]], sizes)
+        return np.bincount(self.piece[at], self.weight[at], minlength=self.n)
 
 
 def pack_shard(pieces: list[np.ndarray], idf: np.ndarray, mean_length: float, rule: PackRule) -> list[list[tuple[int, int, int]]]:
@@ -259,9 +293,9 @@ def pack_shard(pieces: list[np.ndarray], idf: np.ndarray, mean_length: float, ru
 def shard_packer(sent, rule: PackRule) -> Callable:
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         idf, mean_length = sent.value
-        frame = frame.sort_values(["salt", "doc_id", "doc_tokens"], kind="stable")
-        first = int(frame.shard.iloc[0]) << 40
-        pieces = [np.frombuffer(x, "<u2") for x in frame.rest]
+        frame = frame.sort_values("nth", kind="stable")
+        first = int(frame["shard"].iloc[0]) << 40
+        pieces = [np.frombuffer(x, "<u2") for x in frame["rest"]]
         ids, tokens = frame.doc_id.tolist(), frame.doc_tokens.tolist()
         rows, sequence_id = [], first
         for doc_id, n, crcs in zip(ids, tokens, frame.whole_crcs):
@@ -281,16 +315,21 @@ def shard_packer(sent, rule: PackRule) -> Callable:
     return run
 
 
-def packed_pieces(docs: DataFrame, rule: PackRule = PackRule()) -> DataFrame:
+def packed_pieces(docs: DataFrame, rule: PackRule = PackRule(), place: str | None = None) -> DataFrame:
     """One row per piece of a document: what it holds and where it is in which sequence."""
     spark = docs.sparkSession
-    pieces = checkpointed(narrow(docs, doc_id="doc_id", text="text").mapInArrow(tokenise(rule), TOKEN_SCHEMA))
+    rows = docs.select(F.col("doc_id"), F.col("text"), (F.lit(0) if place is None else F.col(f"`{place}`")).cast("long").alias("place"))
+    pieces = checkpointed(rows.mapInArrow(tokenise(rule), TOKEN_SCHEMA).withColumn("piece", F.monotonically_increasing_id()))
     size = vocabulary_size(rule.tokenizer)
-    held, n, tokens = corpus_frequencies(pieces, size)
-    idf = np.log1p((n - held + 0.5) / (held + 0.5))
-    sent = spark.sparkContext.broadcast((idf, max(1.0, tokens / max(1, n))))  # a number for each token of the vocabulary
-    shards = max(1, math.ceil(n / rule.shard_docs))
-    # the salt of each row's place keeps rows that repeat an id and a text apart
-    spread = F.pmod(F.xxhash64("doc_id", "salt", F.monotonically_increasing_id()), F.lit(shards)).cast("int")
-    dealt = pieces.select(spread.alias("shard"), "*")
+    held, n, tokens = corpus_frequencies(pieces, size, rule.window)
+    sent = spark.sparkContext.broadcast((term_weights(held, n), max(1.0, tokens / max(1, n))))  # a number for each token of the vocabulary
+    if place is None:
+        keys = pieces.select("piece", "salt", "doc_id", "doc_tokens", "rest").mapInArrow(leading_terms(sent), TERM_SCHEMA)
+        order = ["t1", "t2", "t3", "salt", "doc_id", "doc_tokens", "piece"]
+    else:
+        keys, order = pieces.select("piece", "place"), ["place", "piece"]
+    # numbers of narrow rows; pieces themselves are exchanged to their shard once
+    nth = numbered(keys, [F.col(c) for c in order], "nth").select(F.col("piece").alias("p"), "nth")
+    dealt = pieces.select("piece", "doc_id", "doc_tokens", "whole_crcs", "rest").join(nth, F.col("piece") == F.col("p"))
+    dealt = dealt.select(F.expr(f"nth div {rule.shard_docs}").cast("int").alias("shard"), "nth", "doc_id", "doc_tokens", "whole_crcs", "rest")
     return dealt.groupBy("shard").applyInPandas(shard_packer(sent, rule), PIECE_SCHEMA)
