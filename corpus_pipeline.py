@@ -12,7 +12,9 @@ after near-dedup; an empty table stays empty through all stages.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from timbre.llm.common import fresh_path, read_table
 from timbre.llm.line_dedup import drop_repeated_lines
@@ -22,6 +24,22 @@ from timbre.llm.retrieval_pack import packed_pieces
 from timbre.llm.source_mix import mix_sources
 
 
+def in_written_order(docs: DataFrame, name: str) -> DataFrame:
+    """Adds the number of each row in the order of the table's files and of the rows in them.
+
+    The mixing stage writes its order as ranges, one file after the other. Rows
+    that don't come from files keep the order of their partitions.
+    """
+    try:
+        placed = docs.select("*", F.col("_metadata.file_name").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    except AnalysisException:
+        return docs.withColumn(name, F.monotonically_increasing_id())
+    files = placed.groupBy("__file").agg(F.count("*").alias("n"))  # a row for each file
+    before = F.sum("n").over(Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1))
+    files = files.select(F.col("__file").alias("__f"), F.coalesce(before, F.lit(0)).alias("__before"))
+    return placed.join(files, F.col("__file") == F.col("__f")).withColumn(name, F.col("__before") + F.col("__row")).drop("__file", "__row", "__f", "__before")
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     return keep_good(docs, read_table(spark, sf_dir, "labels"))
@@ -43,8 +61,8 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents with their places in sequences."""
-    return packed_pieces(docs)
+    """Pieces of documents with their places in sequences, which follow the mix's order."""
+    return packed_pieces(in_written_order(docs, "__place"), place="__place")
 
 
 STAGES = [
