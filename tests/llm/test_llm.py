@@ -497,6 +497,27 @@ def test_archive_long_url(spark):
     assert next(r for r in out if r.page_id == 12).refers_to == 11
 
 
+def test_archive_in_small_ranges(spark):
+    """Ranges of 700 bytes: records and payloads that hold the magic span ranges, whole records of it stand in payloads."""
+    rng = random.Random(6)
+    fake = warc_archive.header_of(77, "u", b"abc", "0" * 64, None) + "abc" + warc_archive.ENDS
+    rows = []
+    for i in range(150):
+        parts = [document(rng, rng.randint(0, 40)) for _ in range(3)]
+        rows.append((i, f"http://h/{i}", warc_archive.MAGIC.join(parts) if i % 7 == 0 else fake.join(parts) if i % 7 == 1 else parts[0]))
+    rows += [(200, "x", "WARC/1.0"), (201, "x", "WARC/1.0\r\n"), (202, "x", "WARC/1.WARC/1.0\r\nWARC/1."), (203, "y" * 3000, "é" * 2000), (204, "z", "\r\n\r\n" * 30)]
+    pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, digest string").repartition(2)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        out = warc_archive.archive_round_trip(pages).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    want = Counter((i, len(h.encode()), hashlib.sha256(h.encode()).hexdigest(), u) for i, u, h in rows)
+    assert Counter((r.page_id, r.payload_bytes, r.payload_digest, r.url) for r in out) == want
+
+
 # --- pages ---
 
 
@@ -518,16 +539,59 @@ def test_common_lines_against_table():
         assert len(found) == best[-1, -1] and all(any(y == a[i] for y in rest) for i in found)
 
 
+def differenced_literally(rows):
+    """{(page_id, url): text} by a walk over all pages in order, with the lines of the parser."""
+    parts = [(i, u, re.match(r"^(?:[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*))?([^?#]*)", u or ""), html_text.blocks_of(h or "").lines) for i, u, h in rows]
+    parts = [((m[1] or "").lower(), m[2].rstrip("/"), i, u, lines) for i, u, m, lines in parts]
+    parts.sort(key=lambda x: (x[0], x[1], x[2] is not None, x[2] or 0, x[3] is not None, x[3] or ""))
+
+    def steps(a, b):
+        n = 0
+        for x, y in zip(a.split("/"), b.split("/")):
+            if x != y:
+                break
+            n += 1
+        return n
+
+    out = {}
+    for k, (host, path, i, u, lines) in enumerate(parts):
+        near = [(steps(path, parts[j][1]), k - j, parts[j][4]) for j in (k - 1, k + 1) if 0 <= j < len(parts) and parts[j][0] == host and [x.text for x in parts[j][4]] != [x.text for x in lines]]
+        gone = set()
+        if near:
+            other = [x.text for x in max(near, key=lambda x: x[:2])[2]]
+            shared = html_text.common_lines([x.text for x in lines], other)
+            plain = [n for n in shared if lines[n].sort == html_text.PLAIN_LINE]
+            prose = {n for n in plain if len(lines[n].text.split(" ")) >= 12}
+            if not (prose and 2 * sum(len(lines[n].text) for n in plain) > sum(len(x.text) for x in lines if x.sort == html_text.PLAIN_LINE)):
+                prose = set()
+            gone = {n for n in shared if lines[n].sort != html_text.CONTENT_LINE and n not in prose}
+        out[i, u] = " ".join(x.text for n, x in enumerate(lines) if n not in gone and x.sort != html_text.MARKED_LINE), len(gone)
+    return out
+
+
 def test_page_differencing(spark):
-    shell = "<div>Welcome to our site</div><div>{}</div><div>Follow us on every channel</div>"
+    rng = random.Random(4)
+    shell = "<div>Welcome to our site</div><nav>Home<br>News</nav><div>{}</div><div>Follow us on every channel</div>"
     rows = [(i, f"http://h/x/{i}", shell.format(f"The story number {i} has words of its own, quite a few of them in fact")) for i in range(4)]
     rows += [(10, "http://h/y", "<article>Welcome to our site</article><div>Welcome to our site</div>"), (11, None, None), (None, "http://h/x/9", ""), (12, "http://k/", shell.format("alone"))]
-    out = {r.page_id: r for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)).coalesce(1).collect()}
-    assert out[11].text == "" and out[11].n_chars == 0
-    assert out[12].text == "Welcome to our site alone Follow us on every channel"
-    assert all(out[i].n_chars == len(out[i].text) for i in (0, 1, 2, 3))
-    pages = [html_text.blocks_of(h) for _, _, h in rows[:2]]
-    assert pages[0].text(html_text.template_lines(pages[0], pages[1])) == "The story number 0 has words of its own, quite a few of them in fact"
-    assert html_text.template_lines(pages[0], pages[0]) == frozenset()
-    kept = html_text.blocks_of(rows[4][2])
-    assert "Welcome to our site" in kept.text(html_text.template_lines(kept, pages[0]))
+    rows += [(20 + k, f"https://M/{k}?p=1", shell.format(" ".join(f"same{j}" for j in range(30)))) for k in range(3)]  # copies
+    rows += [(30 + k, f"http://n/{k}", "<p>Menu of many short lines</p>" * 3 + f"<p>tiny {k}</p>") for k in range(2)]  # most of the page is shared, none of it prose
+    edited = [f"A long line of prose number {j} with more than twelve words in it, as articles have them" for j in range(6)]
+    rows += [(40, "http://o/a", "".join(f"<p>{x}</p>" for x in edited)), (41, "http://o/b", "".join(f"<p>{x}</p>" for x in [*edited[:5], "changed"]))]
+    for i in range(100, 160):
+        lines = [f"line {rng.randint(0, 6)}" if rng.random() < 0.5 else document(rng, 14) for _ in range(rng.randint(0, 9))]
+        rows.append((i, f"http://{rng.choice('pqr')}.net/{rng.randint(0, 3)}/{rng.randint(0, 9)}", "".join(rng.choice(("<div>{}</div>", "<footer>{}</footer>", "<article>{}</article>")).format(x) for x in lines)))
+    frame = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, path string")
+    want = differenced_literally(rows)
+    for parts in (1, 7):
+        out = {(r.page_id, r.url): (r.text, r.n_shared) for r in html_text.main_text(frame.repartition(parts)).collect()}
+        assert out == want
+    assert sum(n > 0 for _, n in want.values()) > 15
+    text = {i: t for (i, _), (t, _) in want.items()}
+    assert text[1] == "The story number 1 has words of its own, quite a few of them in fact"
+    assert text[12] == "Welcome to our site alone Follow us on every channel" and text[11] == ""
+    assert text[30] == "tiny 0" and text[21].startswith("Welcome to our site same0") and "Welcome to our site" in text[10]
+    assert text[40] == " ".join(edited)
+    assert html_text.main_text(frame.where("false")).count() == 0
+    again = html_text.main_text(frame.where("page_id < 4").unionByName(frame.where("page_id = 2"))).collect()
+    assert len(again) == 5 and all(r.n_chars == len(r.text) for r in again)

@@ -1,36 +1,46 @@
-"""HTML extraction: page structure first, then nearest-URL page differencing.
-
-A tokenizer walks the tags, drops the elements that never hold main text (menus,
-page headers, footers, sidebars, adverts, notices, forms, scripts, styles,
-reader comments) and yields the blocks of the rest. Pages are ordered by host,
-path and id, so that a page's neighbours are those of the nearest URLs on its
-host. Their block lines are aligned by longest common subsequence and the lines
-that both share are deleted, unless they stand in an ``article`` or ``main``
-element, which the page itself declares to be content. Of two neighbours the one
-with the longer common path is compared; a neighbour that shares more than half
-of the page's text is a copy of it, not a template, and isn't.
+"""HTML extraction: nearest-URL page differencing, with the page's structure.
+
+A tokenizer walks the tags and yields the page's visible blocks as lines. Pages
+are numbered in the order of host, path and id; a page's neighbours are those
+numbered before and after it on its host, and of the two that with the longer
+common path is taken, unless it is a copy (the same lines). The lines of both are
+aligned by longest common subsequence and what they share is deleted. Only
+digests of lines travel for that.
+
+Structure decides where differencing can't: lines in elements that never hold
+main text (menus, page headers, footers, sidebars, adverts, notices, forms,
+reader comments) go even if no neighbour has them; lines in an ``article`` or
+``main`` element, which the page itself declares to be content, stay even if a
+neighbour has copied them; and where neighbours share more than half of a page's
+other text, one of them is an edited copy of the other, so that lines of prose
+(``PROSE`` words or more) stay. Scripts, styles and titles are never lines.
 
 Edge cases: a null html or url is an empty one; a page without text gives the
-empty string and 0; unclosed and stray tags are closed by their parents or
-skipped; rows that repeat a page are copies and keep their text; a null
+empty string and 0; very long pages are lines like others; unclosed and stray
+tags are closed by their parents or skipped; rows that repeat a page are copies
+and keep their text; ties of host and path go by id, url and digest; a null
 ``page_id`` is returned as null; an empty table gives an empty result; only
-three columns are read. Pages are compared within a task: the first and last of
-a task's range have a neighbour on one side only.
+three columns are read. The result depends on the rows alone, not on partitions.
 """
 
 from __future__ import annotations
 
 import html
+import json
 import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from timbre.llm.common import narrow
+from timbre.llm.common import checkpointed, narrow
+from timbre.operators.scoring import numbered
 
 # Names of elements and words of class and id attributes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -61,10 +71,16 @@ class Element:
     content: bool
 
 
+#: Sorts of lines: declared to be content, in an element that never holds main text, neither.
+CONTENT_LINE, MARKED_LINE, PLAIN_LINE = 0, 1, 2
+#: Words of a line of prose.
+PROSE = 12
+
+
 @dataclass
 class Line:
     text: str
-    content: bool
+    sort: int
 
 
 @dataclass
@@ -72,7 +88,7 @@ class Page:
     lines: list[Line] = field(default_factory=list)
 
     def text(self, gone: frozenset[int] = frozenset()) -> str:
-        return " ".join(x.text for i, x in enumerate(self.lines) if i not in gone)
+        return " ".join(x.text for i, x in enumerate(self.lines) if x.sort != MARKED_LINE and i not in gone)
 
 
 def marked(name: str, attributes: str, content: bool) -> bool:
@@ -95,15 +111,17 @@ def marked(name: str, attributes: str, content: bool) -> bool:
 
 
 def blocks_of(source: str) -> Page:
-    """The page's blocks in order, white space collapsed; dropped elements are left out."""
-    page, stack, parts = Page(), [], []
+    """The page's blocks in order, white space collapsed; text of dropped elements is in lines of its own."""
+    page, stack = Page(), []
+    parts, aside = [], []
     low = None
 
     def flush() -> None:
-        text = SPACES.sub(" ", html.unescape("".join(parts))).strip()
-        if text:
-            page.lines.append(Line(text, bool(stack) and stack[-1].content))
-        parts.clear()
+        for pieces, sort in ((parts, CONTENT_LINE if stack and stack[-1].content else PLAIN_LINE), (aside, MARKED_LINE)):
+            text = SPACES.sub(" ", html.unescape("".join(pieces))).strip()
+            if text:
+                page.lines.append(Line(text, sort))
+            pieces.clear()
 
     def pop(depth: int) -> None:
         if any(e.name not in INLINE for e in stack[depth:]):
@@ -113,8 +131,8 @@ def blocks_of(source: str) -> Page:
     at = 0
     while True:
         m = TAG.search(source, at)
-        if not (stack and stack[-1].dropped):
-            parts.append(source[at : m.start() if m else len(source)])
+        if not (stack and stack[-1].name in RAW):
+            (aside if stack and stack[-1].dropped else parts).append(source[at : m.start() if m else len(source)])
         if m is None:
             break
         at = m.end()
@@ -196,69 +214,78 @@ def common_lines(a: list[str], b: list[str]) -> list[int]:
     return sorted(found)
 
 
-def shared_prefix(a: str, b: str) -> int:
-    n = 0
-    for x, y in zip(a.split("/"), b.split("/")):
-        if x != y:
-            break
-        n += len(x) + 1
-    return n
+def template_lines(mine: list[tuple[int, int, bool, int]], other: list[int]) -> list[int]:
+    """Numbers of the lines (digest, sort, prose, size) that go because ``other`` has them too."""
+    shared = common_lines([x[0] for x in mine], other)
+    plain = [i for i in shared if mine[i][1] == PLAIN_LINE]
+    copied = 2 * sum(mine[i][3] for i in plain) > sum(x[3] for x in mine if x[1] == PLAIN_LINE) and any(mine[i][2] for i in plain)
+    return [i for i in shared if mine[i][1] == MARKED_LINE or mine[i][1] == PLAIN_LINE and not (copied and mine[i][2])]
 
 
-def template_lines(page: Page, other: Page) -> frozenset[int]:
-    """Lines that the neighbour has too and that the page doesn't declare to be content."""
-    if not any(not x.content for x in page.lines):
-        return frozenset()
-    shared = common_lines([x.text for x in page.lines], [x.text for x in other.lines])
-    if 2 * sum(len(page.lines[i].text) for i in shared) > sum(len(x.text) for x in page.lines):
-        return frozenset()
-    return frozenset(i for i in shared if not page.lines[i].content)
+SIGNED = np.dtype([("digest", "<u8"), ("sort", "u1"), ("prose", "?"), ("size", "<u4")])
+PARSED_SCHEMA = "page_id long, url string, host string, path string, lines binary, signs binary, same long"
+
+
+def parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages to their lines (compressed), the lines' digests and sorts, and a digest of all lines."""
+    press = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        lines, signs, same = [], [], []
+        for source in batch.column(4):
+            page = blocks_of(source.as_py() or "")
+            lines.append(press.compress(json.dumps([[x.text, x.sort] for x in page.lines], ensure_ascii=False).encode()))
+            rows = np.array([(xxhash.xxh3_64_intdigest(x.text), x.sort, x.text.count(" ") + 1 >= PROSE, min(len(x.text), 0xFFFFFFFF)) for x in page.lines], SIGNED)
+            signs.append(rows.tobytes())
+            same.append(xxhash.xxh3_64_intdigest(rows["digest"].tobytes()) - (1 << 63))
+        yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(lines, pa.binary()), pa.array(signs, pa.binary()), pa.array(same, pa.int64())], names=[x.split()[0] for x in PARSED_SCHEMA.split(", ")])
 
 
 def difference_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come in the order of host and path; a page is done when the next is known."""
-    names = ["page_id", "url", "text", "n_chars"]
-    last = here = None  # (page_id, url, host, path, page)
-
-    def finished(last, here, after):
-        best, reach = None, -1
-        for near in (last, after):
-            if near is not None and near[2] == here[2] and shared_prefix(near[3], here[3]) > reach:
-                best, reach = near, shared_prefix(near[3], here[3])
-        return here[0], here[1], here[4].text(template_lines(here[4], best[4]) if best else frozenset())
-
-    def packed(rows):
-        ids, urls, texts = zip(*rows)
-        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(urls, pa.string()), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=names)
-
-    rows, size = [], 0
     for batch in batches:
-        for page_id, url, source, host, path in zip(*batch.columns):
-            after = (page_id.as_py(), url.as_py(), host.as_py(), path.as_py(), blocks_of(source.as_py() or ""))
-            if here is not None:
-                rows.append(finished(last, here, after))
-                size += len(rows[-1][2])
-                if len(rows) >= 2000 or size > 16_000_000:
-                    yield packed(rows)
-                    rows, size = [], 0
-            last, here = here, after
-    if here is not None:
-        rows.append(finished(last, here, None))
-    if rows:
-        yield packed(rows)
+        gone = []
+        for mine, other in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            gone.append(template_lines(np.frombuffer(mine, SIGNED).tolist(), np.frombuffer(other, SIGNED)["digest"].tolist()))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(gone, pa.list_(pa.int32()))], names=["page", "gone"])
 
 
-def main_text(pages: DataFrame) -> DataFrame:
-    """One row per page: its main text and the text's length.
+def text_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    unpress = zstandard.ZstdDecompressor()
+    for batch in batches:
+        texts, shared = [], []
+        for lines, gone in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            page, gone = Page([Line(*x) for x in json.loads(unpress.decompress(lines))]), frozenset(gone or ())
+            texts.append(page.text(gone))
+            shared.append(len(gone))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64()), pa.array(shared, pa.int64())], names=["page_id", "url", "text", "n_chars", "n_shared"])
+
+
+def common_steps(a: Column, b: Column) -> Column:
+    """Leading steps that two paths have in common."""
+    same = F.zip_with(F.split(a, "/"), F.split(b, "/"), lambda x, y: F.coalesce(x == y, F.lit(False)))
+    return F.aggregate(same, F.struct(F.lit(0).alias("n"), F.lit(True).alias("on")), lambda s, x: F.struct((s["n"] + F.when(s["on"] & x, 1).otherwise(0)).alias("n"), (s["on"] & x).alias("on")))["n"]
+
 
-    Pages are dealt out by ranges of (host, path, id), which also splits a host
-    that has a great part of all pages.
-    """
+def paired(keys: DataFrame) -> DataFrame:
+    """(page, signs, near): pages with the lines' signs of their nearest neighbour; those without one are left out."""
+    nth = checkpointed(numbered(keys, [F.col(c) for c in ("host", "path", "page_id", "url", "same", "page")], "nth"))
+    near = nth.select(F.col("nth").alias("at"), F.col("host").alias("h"), F.col("path").alias("p"), F.col("same").alias("s"), F.col("signs").alias("near"))
+    sides = []
+    for step in (-1, 1):
+        both = nth.join(near.withColumn("at", F.col("at") - step), (F.col("nth") == F.col("at")) & (F.col("host") == F.col("h")) & (F.col("same") != F.col("s")))
+        sides.append(both.select("page", "signs", F.struct(common_steps(F.col("path"), F.col("p")).alias("steps"), F.lit(-step).alias("side"), "near").alias("x")))
+    # a page has two rows at most
+    best = sides[0].unionByName(sides[1]).groupBy("page").agg(F.first("signs").alias("signs"), F.max_by("x", F.struct("x.steps", "x.side")).alias("x"))
+    return best.select("page", "signs", "x.near")
+
+
+def main_text(pages: DataFrame) -> DataFrame:
+    """One row per page: its main text, the text's length, and how many lines were deleted because a neighbour has them."""
     rows = narrow(pages, page_id="page_id", url="url", html="html")
     url = F.coalesce("url", F.lit(""))
     host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     path = F.regexp_replace(F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)?([^?#]*)", 1), "/+$", "")
-    keyed = rows.select("page_id", "url", "html", host.alias("host"), path.alias("path"))
-    # the range bounds come from the keys; the order within a task is total
-    ranged = keyed.repartitionByRange("host", "path", "page_id").sortWithinPartitions("host", "path", "page_id", "url", F.xxhash64("html"))
-    return ranged.mapInArrow(difference_batches, "page_id long, url string, text string, n_chars long")
+    parsed = rows.select("page_id", "url", host.alias("host"), path.alias("path"), "html").mapInArrow(parse_batches, PARSED_SCHEMA)
+    parsed = checkpointed(parsed.withColumn("page", F.monotonically_increasing_id()))
+    gone = paired(parsed.select("page", "page_id", "url", "host", "path", "same", "signs")).mapInArrow(difference_batches, "page long, gone array<int>").where("size(gone) > 0")
+    done = parsed.select("page", "page_id", "url", "lines").join(gone.withColumnRenamed("page", "g"), F.col("page") == F.col("g"), "left")
+    return done.select("page_id", "url", "lines", "gone").mapInArrow(text_batches, "page_id long, url string, text string, n_chars long, n_shared long")

@@ -18,7 +18,7 @@ from timbre.llm.warc_archive import archive_round_trip
 
 
 def op1_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return archive_round_trip(read_table(spark, sf_dir, "pages"))
+    return archive_round_trip(read_table(spark, sf_dir, "pages")).drop("url")
 
 
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,4 +70,14 @@ QUERIES = {
     "op10_line_dedup": op10_line_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: Of the other operators SQL lacks the method (hashes, alignment, tokens, formats, schedules).
+ORACLE_SQL: dict[str, str] = {
+    "op1_warc_chain": """WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages), q AS (SELECT page_id, strlen(h) AS n, sha256(h) AS d FROM p),
+        f AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY d) END AS first_id FROM q), r AS (SELECT *, coalesce(first_id < page_id, false) AS again FROM f)
+        SELECT page_id, n AS payload_bytes, d AS payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN first_id END AS refers_to FROM r""",
+    "op10_line_dedup": """WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
+        k AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+        f AS (SELECT key, min(doc_id) AS first_id FROM k WHERE length(key) >= 10 GROUP BY key),
+        m AS (SELECT k.*, coalesce(f.first_id < k.doc_id, false) AS gone FROM k LEFT JOIN f ON k.key = f.key)
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256 FROM m GROUP BY doc_id""",
+}
