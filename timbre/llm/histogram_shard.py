@@ -18,17 +18,17 @@ are empty; an empty table gives an empty result. Payload columns may be any.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from timbre.llm.common import checkpointed
+from timbre.operators.scoring import numbered
 
 SHARDS = 24
 OVERHEAD = 8
@@ -39,12 +39,11 @@ TOP = (1 << 8 * WIDE) - 1
 
 @dataclass(frozen=True)
 class SplitRule:
-    """tolerance: allowed miss of a splitter, as a share of a shard; probes: candidates of a splitter in a round; part_rows: rows of one task of the exchange."""
+    """tolerance: allowed miss of a splitter, as a share of a shard; probes: candidates of a splitter in a round."""
 
     shards: int = SHARDS
     tolerance: float = 0.002
     probes: int = 48
-    part_rows: int = 100_000
     max_rounds: int = 40
 
 
@@ -136,13 +135,13 @@ def splitters(keyed: DataFrame, parts: int, rule: SplitRule) -> tuple[list[int],
     return [int(x) for x in np.maximum.accumulate(np.array([best[i][1] for i in range(parts - 1)], object))], int(total)
 
 
-def placer(edges: list[int], kind: pa.Schema | None = None) -> Callable:
+def placer(edges: list[int]) -> Callable:
     marks = as_bytes(edges)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             part = np.searchsorted(marks, key_bytes(batch), side="right") if batch.num_rows else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(part, pa.int32())], names=[*batch.schema.names, "__part"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(part, pa.int32())], names=[*batch.schema.names, "__shard"])
 
     return place
 
@@ -150,27 +149,18 @@ def placer(edges: list[int], kind: pa.Schema | None = None) -> Callable:
 def sharded(rows: DataFrame, size: str, text_hash: str, doc_id: str, rule: SplitRule = SplitRule()) -> DataFrame:
     """``rows`` with ``shard`` and ``slot`` (gapless from 0 in each shard, in key order).
 
-    The rows are written once to the shared folder with their keys, so that all
-    rounds and the exchange see the same keys. A shard is dealt as several tasks
-    if it has more than ``rule.part_rows`` rows.
+    The keys are written once to the shared folder, so that all rounds and the
+    exchange see the same ones. The driver holds a cell for each probe of each
+    splitter, whatever the number of rows. One range exchange brings the rows
+    into key order, over as many tasks as they need; slots are places in it.
     """
     tie = F.xxhash64(F.monotonically_increasing_id())
     keyed = checkpointed(rows.select(F.col(text_hash).alias("__k1"), F.coalesce(F.col(doc_id), F.lit(-(1 << 63))).alias("__k2"), tie.alias("__k3"), F.col(size).alias("__size"), F.struct(*(F.col(f"`{c}`") for c in rows.columns)).alias("__row")))
-    [n] = keyed.agg(F.count("*")).first()
-    fine = max(1, math.ceil(n / rule.shards / rule.part_rows))
-    edges, _ = splitters(keyed, rule.shards * fine, rule)
-    counts = [c[1] for c in histogram(keyed, sorted(set(edges)))] if n else []
-    # rows before each part within its shard: a cell of the last histogram for each distinct edge
-    part_rows = dict.fromkeys(range(rule.shards * fine), 0)
-    distinct = sorted(set(edges))
-    for cell, count in enumerate(counts):
-        part_rows[int(np.searchsorted(np.array(edges, object), distinct[cell - 1], side="right")) if cell else 0] = count
-    bases = [sum(part_rows[q] for q in range(p // fine * fine, p)) for p in range(rule.shards * fine)]
-    kind = T.StructType([*(keyed.schema[k] for k in (*KEYS, "__row")), T.StructField("__part", T.IntegerType())])
+    edges, _ = splitters(keyed, rule.shards, rule)
+    kind = T.StructType([*(keyed.schema[k] for k in (*KEYS, "__row")), T.StructField("__shard", T.IntegerType())])
     placed = keyed.select(*KEYS, "__row").mapInArrow(placer(edges), kind)
-    slot = F.row_number().over(Window.partitionBy("__part").orderBy(*KEYS)) - 1
-    base = F.get(F.array(*map(F.lit, bases)), F.col("__part"))
-    return placed.select("__row.*", F.floor(F.col("__part") / fine).cast("int").alias("shard"), (slot + base).cast("long").alias("slot"))
+    out = numbered(placed, [F.col(c) for c in ("__shard", *KEYS)], "__slot", by=["__shard"])
+    return out.select("__row.*", F.col("__shard").alias("shard"), F.col("__slot").alias("slot"))
 
 
 def shard_report(docs: DataFrame, rule: SplitRule = SplitRule()) -> DataFrame:
