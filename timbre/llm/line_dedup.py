@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from timbre.llm.common import checkpointed, narrow
+from timbre.llm.common import checkpointed, narrow, spread_join
 
 MIN_KEY = 10
 PROBES = 3
@@ -151,8 +151,10 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     cells = filter_cells(lines)
     sent = docs.sparkSession.sparkContext.broadcast(twice_filter(rows, cells).tobytes())
     suspects = checkpointed(rows.mapInArrow(suspect_scanner(sent, cells), "doc_id long, digest binary"))
-    confirmed = checkpointed(suspects.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")).where("first_id < last_id").select("digest", "first_id"))
-    losing = suspects.join(confirmed, "digest").where("doc_id > first_id")
+    confirmed = suspects.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"), F.count("*").alias("n")).where("first_id < last_id")
+    confirmed = checkpointed(confirmed.select(F.col("digest").alias("d"), "first_id", "n"))
+    total = confirmed.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    losing = spread_join(suspects, confirmed, "digest", "d", "n", total, F.xxhash64("doc_id")).where("doc_id > first_id")
     return losing.groupBy("doc_id").agg(F.collect_set("digest").alias("drop"))
 
 
@@ -179,7 +181,10 @@ def line_deduped(docs: DataFrame) -> DataFrame:
     others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     rows = docs.select(F.col("doc_id").alias("id"), F.struct(*others).alias("row"), "text")
     losing = repeated_lines(docs).select(F.col("doc_id").alias("losing_id"), "drop")
-    joined = rows.join(losing, F.col("id") == F.col("losing_id"), "left").select("row", "text", "drop")
+    # rows without an id lose nothing; they get keys of their own, so that they don't meet in one task
+    rows = rows.withColumn("nameless", F.when(F.col("id").isNull(), F.monotonically_increasing_id()))
+    losing = losing.withColumn("named", F.lit(None).cast("long"))
+    joined = rows.join(losing, F.col("id").eqNullSafe(F.col("losing_id")) & F.col("nameless").eqNullSafe(F.col("named")), "left").select("row", "text", "drop")
     kind = T.StructType([joined.schema["row"], T.StructField("text", T.StringType()), T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
     return joined.mapInArrow(_apply, kind)
 
