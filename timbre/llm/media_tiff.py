@@ -165,7 +165,7 @@ def decoded(block: bytes, compression: int, size: int) -> bytes:
     elif compression == LZW:
         out = lzw_decode(block, size)
     elif compression in (DEFLATE, OLD_DEFLATE):
-        out = zlib.decompress(block)
+        out = zlib.decompressobj().decompress(block, size)  # no more than the page needs
     else:
         raise ValueError(f"compression {compression} isn't known")
     if len(out) < size:
@@ -228,11 +228,15 @@ def directories(data: bytes) -> Iterator[tuple[str, dict[int, list[int]]]]:
             raise ValueError("the chain of directories is broken")
         seen.add(at)
         n, tags = struct.unpack_from(f"{order}H", data, at)[0], {}
+        if at + 6 + 12 * n > len(data):
+            raise ValueError("a directory ends early")
         for i in range(n):
             entry = at + 2 + 12 * i
             tag, kind, count = struct.unpack_from(f"{order}HHI", data, entry)
             size = TYPE_SIZES.get(kind, 1) * count
             place = entry + 8 if size <= 4 else struct.unpack_from(f"{order}I", data, entry + 8)[0]
+            if place + size > len(data):
+                raise ValueError("a tag's values lie outside the file")
             if kind in (1, 3, 4):
                 tags[tag] = list(struct.unpack_from(f"{order}{count}{'?BxHI'[kind]}", data, place))
         yield order, tags
@@ -241,7 +245,16 @@ def directories(data: bytes) -> Iterator[tuple[str, dict[int, list[int]]]]:
 
 def read_page(data: bytes, tags: dict[int, list[int]], order: str) -> np.ndarray:
     """Samples of one page: rows by columns, or by samples too if a pixel has several."""
+    try:
+        return _read_page(data, tags, order)
+    except (KeyError, IndexError, struct.error, zlib.error, OverflowError) as e:
+        raise ValueError(f"a page's directory or data is broken: {e!r}") from e
+
+
+def _read_page(data: bytes, tags: dict[int, list[int]], order: str) -> np.ndarray:
     width, rows = tags[IMAGE_WIDTH][0], tags[IMAGE_LENGTH][0]
+    if not width or not rows:
+        raise ValueError("a page has no samples")
     compression, predictor = tags.get(COMPRESSION, [RAW])[0], tags.get(PREDICTOR, [1])[0]
     samples, bits = tags.get(SAMPLES, [1])[0], tags.get(BITS, [8])[0]
     if bits not in (8, 16):
@@ -250,8 +263,16 @@ def read_page(data: bytes, tags: dict[int, list[int]], order: str) -> np.ndarray
     tiled = TILE_OFFSETS in tags
     across, down = (tags[TILE_WIDTH][0], tags[TILE_LENGTH][0]) if tiled else (width, min(rows, tags.get(ROWS_PER_STRIP, [rows])[0]))
     places = zip(tags[TILE_OFFSETS if tiled else STRIP_OFFSETS], tags[TILE_COUNTS if tiled else STRIP_COUNTS])
-    page = np.zeros((rows, width, samples), kind)
+    if not 0 < across <= 1 << 20 or not 0 < down <= 1 << 31 or not samples:
+        raise ValueError("a strip or tile has no samples, or too many")
     columns = -(-width // across)
+    places = list(places)
+    if len(places) < columns * -(-rows // down):
+        raise ValueError("strips or tiles are missing")
+    # deflate, the densest of the codes, makes 1,032 bytes of one; a page that claims more can't be in the file
+    if rows * width * samples * kind.itemsize > 1032 * max(1, len(data)) or across * down * samples * kind.itemsize > 1032 * max(1, len(data)) + (1 << 20):
+        raise ValueError("a page is larger than its file can hold")
+    page = np.zeros((rows, width, samples), kind)
     for k, (at, n) in enumerate(places):
         y, x = k // columns * down, k % columns * across
         high = down if tiled else min(down, rows - y)
@@ -320,9 +341,10 @@ def page_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for media_id, media in zip(batch.column(0).to_pylist(), batch.column(1)):
             try:
                 rows = [(media_id, i, p.shape[0], p.shape[1], p.tobytes(), None) for i, p in enumerate(read_pages(media.as_py() or b""))]
-            except (ValueError, KeyError, struct.error, zlib.error) as e:
-                rows = [(media_id, None, None, None, None, str(e))]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+            except (ValueError, MemoryError) as e:
+                rows = [(media_id, None, None, None, None, str(e) or "a page doesn't fit the memory")]
+            columns = list(zip(*rows)) or [()] * len(schema)  # a file may have no page
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
 def decode_pages(media: DataFrame, media_id: str = "media_id", content: str = "content") -> DataFrame:
