@@ -645,4 +645,4 @@ def test_page_differencing(spark):
     assert text[40] == " ".join(edited)
     assert html_text.main_text(frame.where("false")).count() == 0
     again = html_text.main_text(frame.where("page_id < 4").unionByName(frame.where("page_id = 2"))).collect()
-    assert len(again) == 5 and all(r.n_chars == len(r.text) for r in again)
+    assert len(again) == 5 and all(r.n_chars == len(r.text) and r.text == text[r.page_id] for r in again)

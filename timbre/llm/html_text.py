@@ -5,7 +5,8 @@ are numbered in the order of host, path and id; a page's neighbours are those
 numbered before and after it on its host, and of the two that with the longer
 common path is taken, unless it is a copy (the same lines). The lines of both are
 aligned by longest common subsequence and what they share is deleted. Only
-digests of lines travel for that.
+digests of lines travel for that: pages are parsed once for the digests and again
+for their text, which is exchanged once.
 
 Structure decides where differencing can't: lines in elements that never hold
 main text (menus, page headers, footers, sidebars, adverts, notices, forms,
@@ -17,8 +18,8 @@ other text, one of them is an edited copy of the other, so that lines of prose
 
 Edge cases: a null html or url is an empty one; a page without text gives the
 empty string and 0; very long pages are lines like others; unclosed and stray
-tags are closed by their parents or skipped; rows that repeat a page are copies
-and keep their text; ties of host and path go by id, url and digest; a null
+tags are closed by their parents or skipped; rows alike in all three columns
+are one page; ties of host and path go by id, lines' digest and page digest; a null
 ``page_id`` is returned as null; an empty table gives an empty result; only
 three columns are read. The result depends on the rows alone, not on partitions.
 """
@@ -223,21 +224,34 @@ def template_lines(mine: list[tuple[int, int, bool, int]], other: list[int]) ->
 
 
 SIGNED = np.dtype([("digest", "<u8"), ("sort", "u1"), ("prose", "?"), ("size", "<u4")])
-PARSED_SCHEMA = "page_id long, url string, host string, path string, lines binary, signs binary, same long"
+SIGNED_SCHEMA = "page binary, page_id long, host string, path string, same long, signs binary"
+LINES_SCHEMA = "page binary, page_id long, url string, lines binary"
 
 
-def parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pages to their lines (compressed), the lines' digests and sorts, and a digest of all lines."""
-    press = zstandard.ZstdCompressor(level=3)
+def page_digests(batch: pa.RecordBatch) -> pa.Array:
+    """128-bit digests of rows (page_id, url, html)."""
+    rows = zip(*(batch.column(i).to_pylist() for i in range(3)))
+    return pa.array([xxhash.xxh3_128_digest(repr((i, u)).encode("utf-8", "surrogatepass") + b"\0" + (h or "").encode()) for i, u, h in rows], pa.binary())
+
+
+def sign_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages to the digests and sorts of their lines, and a digest of all lines."""
     for batch in batches:
-        lines, signs, same = [], [], []
-        for source in batch.column(4):
+        signs, same = [], []
+        for source in batch.column(2):
             page = blocks_of(source.as_py() or "")
-            lines.append(press.compress(json.dumps([[x.text, x.sort] for x in page.lines], ensure_ascii=False).encode()))
             rows = np.array([(xxhash.xxh3_64_intdigest(x.text), x.sort, x.text.count(" ") + 1 >= PROSE, min(len(x.text), 0xFFFFFFFF)) for x in page.lines], SIGNED)
             signs.append(rows.tobytes())
             same.append(xxhash.xxh3_64_intdigest(rows["digest"].tobytes()) - (1 << 63))
-        yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(lines, pa.binary()), pa.array(signs, pa.binary()), pa.array(same, pa.int64())], names=[x.split()[0] for x in PARSED_SCHEMA.split(", ")])
+        yield pa.RecordBatch.from_arrays([page_digests(batch), batch.column(0), batch.column(3), batch.column(4), pa.array(same, pa.int64()), pa.array(signs, pa.binary())], names=[x.split()[0] for x in SIGNED_SCHEMA.split(", ")])
+
+
+def line_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages to their lines, compressed for the exchange."""
+    press = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        lines = [press.compress(json.dumps([[x.text, x.sort] for x in blocks_of(h.as_py() or "").lines], ensure_ascii=False).encode()) for h in batch.column(2)]
+        yield pa.RecordBatch.from_arrays([page_digests(batch), batch.column(0), batch.column(1), pa.array(lines, pa.binary())], names=[x.split()[0] for x in LINES_SCHEMA.split(", ")])
 
 
 def difference_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,17 +279,17 @@ def common_steps(a: Column, b: Column) -> Column:
     return F.aggregate(same, F.struct(F.lit(0).alias("n"), F.lit(True).alias("on")), lambda s, x: F.struct((s["n"] + F.when(s["on"] & x, 1).otherwise(0)).alias("n"), (s["on"] & x).alias("on")))["n"]
 
 
-def paired(keys: DataFrame) -> DataFrame:
+def paired(signed: DataFrame) -> DataFrame:
     """(page, signs, near): pages with the lines' signs of their nearest neighbour; those without one are left out."""
-    nth = checkpointed(numbered(keys, [F.col(c) for c in ("host", "path", "page_id", "url", "same", "page")], "nth"))
-    near = nth.select(F.col("nth").alias("at"), F.col("host").alias("h"), F.col("path").alias("p"), F.col("same").alias("s"), F.col("signs").alias("near"))
-    sides = []
-    for step in (-1, 1):
-        both = nth.join(near.withColumn("at", F.col("at") - step), (F.col("nth") == F.col("at")) & (F.col("host") == F.col("h")) & (F.col("same") != F.col("s")))
-        sides.append(both.select("page", "signs", F.struct(common_steps(F.col("path"), F.col("p")).alias("steps"), F.lit(-step).alias("side"), "near").alias("x")))
-    # a page has two rows at most
-    best = sides[0].unionByName(sides[1]).groupBy("page").agg(F.first("signs").alias("signs"), F.max_by("x", F.struct("x.steps", "x.side")).alias("x"))
-    return best.select("page", "signs", "x.near")
+    keys = signed.select("page", "page_id", "host", "path", "same").dropDuplicates(["page"])
+    nth = checkpointed(numbered(keys, [F.col(c) for c in ("host", "path", "page_id", "same", "page")], "nth").select("nth", "page", "host", "path", "same"))
+    near = nth.select(F.col("nth").alias("at"), F.col("host").alias("h"), F.col("path").alias("p"), F.col("same").alias("s"), F.col("page").alias("near"))
+    both = nth.withColumn("side", F.explode(F.array(F.lit(-1), F.lit(1)))).join(near, (F.col("nth") + F.col("side") == F.col("at")) & (F.col("host") == F.col("h")) & (F.col("same") != F.col("s")))
+    # a page has two rows at most; of equal ones the page before counts
+    best = both.groupBy("page").agg(F.max_by("near", F.struct(common_steps(F.col("path"), F.col("p")), -F.col("side"))).alias("near"))
+    signs = signed.select(F.col("page").alias("k"), "signs")
+    out = best.join(signs.dropDuplicates(["k"]).withColumnRenamed("signs", "theirs"), F.col("near") == F.col("k")).select("page", "theirs")
+    return out.join(signs.dropDuplicates(["k"]), F.col("page") == F.col("k")).select("page", "signs", F.col("theirs").alias("near"))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -284,8 +298,8 @@ def main_text(pages: DataFrame) -> DataFrame:
     url = F.coalesce("url", F.lit(""))
     host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     path = F.regexp_replace(F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)?([^?#]*)", 1), "/+$", "")
-    parsed = rows.select("page_id", "url", host.alias("host"), path.alias("path"), "html").mapInArrow(parse_batches, PARSED_SCHEMA)
-    parsed = checkpointed(parsed.withColumn("page", F.monotonically_increasing_id()))
-    gone = paired(parsed.select("page", "page_id", "url", "host", "path", "same", "signs")).mapInArrow(difference_batches, "page long, gone array<int>").where("size(gone) > 0")
-    done = parsed.select("page", "page_id", "url", "lines").join(gone.withColumnRenamed("page", "g"), F.col("page") == F.col("g"), "left")
+    signed = checkpointed(rows.select("page_id", "url", "html", host.alias("host"), path.alias("path")).mapInArrow(sign_batches, SIGNED_SCHEMA))
+    gone = paired(signed).mapInArrow(difference_batches, "page binary, gone array<int>").where("size(gone) > 0")
+    lines = rows.mapInArrow(line_batches, LINES_SCHEMA)
+    done = lines.join(gone.withColumnRenamed("page", "g"), F.col("page") == F.col("g"), "left")
     return done.select("page_id", "url", "lines", "gone").mapInArrow(text_batches, "page_id long, url string, text string, n_chars long, n_shared long")
