@@ -112,8 +112,8 @@ def header_fields(data: bytes) -> tuple[dict[bytes, bytes], int] | None:
     return fields, end + 2
 
 
-CANDIDATE_SCHEMA = "file string, block long, at long, size long, head long, length long, page_id long, url string, record_type string, refers_to long, payload_digest string"
-_CANDIDATE_KINDS = [pa.string(), *[pa.int64()] * 6, pa.string(), pa.string(), pa.int64(), pa.string()]
+CANDIDATE_SCHEMA = "file long, block long, at long, size long, head long, length long, page_id long, url string, record_type string, refers_to long, payload_digest binary"
+_CANDIDATE_KINDS = [*[pa.int64()] * 7, pa.string(), pa.string(), pa.int64(), pa.binary()]
 
 
 def segment_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,7 +139,7 @@ def segment_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             else:
                 (fields, head), length = parsed, int(length)
                 url, payload = fields.get(b"warc-target-uri"), data[head : head + length]
-                digest = hashlib.sha256(payload).hexdigest() if len(payload) == length else None
+                digest = hashlib.sha256(payload).digest() if len(payload) == length else None
                 rows.append((file, start, at, len(data), head, length, number(fields, b"warc-record-id"), url and url.decode(errors="replace"), fields.get(b"warc-type", b"").decode(errors="replace"), number(fields, b"warc-refers-to"), digest))
             at += len(data) + len(MAGIC)
         columns = list(zip(*rows)) or [()] * len(names)
@@ -147,12 +147,12 @@ def segment_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def segments(spark: SparkSession, path: str) -> DataFrame:
-    """(file, block, value): the bytes between two magics, in the file's order within a byte range."""
+    """(file, block, value): the bytes between two magics, in the file's order within a byte range; a file is known by the hash of its path."""
     rows = spark.read.option("lineSep", MAGIC).option("pathGlobFilter", "part-*").text(path)
-    return rows.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("value"))
+    return rows.select(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("value"))
 
 
-LINK_SCHEMA = "file string, block long, offset long, next long"
+LINK_SCHEMA = "file long, block long, offset long, next long"
 
 
 def exits(frame: pd.DataFrame) -> pd.DataFrame:
@@ -194,7 +194,7 @@ def reachable(links: DataFrame) -> DataFrame:
         nodes = checkpointed(step.select("file", "block", "a", F.col("eb").alias("b"), (F.col("on") | F.col("mb").isNotNull()).alias("on")))
     entries = nodes.where("`on`").select(F.col("file").alias("ef"), F.col("block").alias("eb"), F.col("a").alias("entry"))
     known = links.join(entries, (F.col("file") == F.col("ef")) & (F.col("block") == F.col("eb"))).select("file", "block", "offset", "next", "entry")
-    return known.groupBy("file", "block").applyInPandas(marked, "file string, offset long")
+    return known.groupBy("file", "block").applyInPandas(marked, "file long, offset long")
 
 
 def scan_archive(spark: SparkSession, path: str) -> DataFrame:
@@ -206,7 +206,7 @@ def scan_archive(spark: SparkSession, path: str) -> DataFrame:
     sums = sums.select(F.col("file").alias("sf"), F.col("block").alias("sb"), F.coalesce(before, F.lit(0)).alias("before"))
     # a record's offset is that of its magic; the segment before a file's first magic is empty and not a record
     placed = found.join(sums, (F.col("file") == F.col("sf")) & (F.col("block") == F.col("sb"))).drop("sf", "sb").withColumn("offset", F.col("before") + F.col("at") - len(MAGIC))
-    placed = checkpointed(placed.where("length is not null").withColumn("next", F.col("offset") + len(MAGIC) + F.col("head") + F.col("length") + len(ENDS)).drop("size", "at", "before"))
+    placed = placed.where("length is not null").withColumn("next", F.col("offset") + len(MAGIC) + F.col("head") + F.col("length") + len(ENDS)).drop("size", "at", "before")
     on = checkpointed(reachable(placed.select("file", "block", "offset", "next")).withColumnRenamed("file", "rf").withColumnRenamed("offset", "ro"))
     records = placed.join(on, (F.col("file") == F.col("rf")) & (F.col("offset") == F.col("ro"))).drop("rf", "ro", "block", "next")
     torn = checkpointed(records.where("payload_digest is null").select("file", "offset", "head", "length"))
@@ -235,7 +235,7 @@ def mended(spark: SparkSession, path: str, torn: DataFrame, sums: DataFrame) ->
                 at += len(value.as_py()) + len(MAGIC)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(places, pa.int64())], names=["file", "block", "value", "at"])
 
-    parts = segments(spark, path).mapInArrow(pieces, "file string, block long, value binary, at long")
+    parts = segments(spark, path).mapInArrow(pieces, "file long, block long, value binary, at long")
     parts = parts.join(ranges, (F.col("file") == F.col("sf")) & (F.col("block") == F.col("sb"))).withColumn("place", F.col("before") + F.col("at") - len(MAGIC))
     parts = parts.where((F.col("place") >= F.col("start")) & (F.col("place") < F.col("start") + len(MAGIC) + F.col("head") + F.col("length")))
 
@@ -243,15 +243,15 @@ def mended(spark: SparkSession, path: str, torn: DataFrame, sums: DataFrame) ->
         frame = frame.sort_values("place")
         data = MAGIC.encode().join(frame.value)
         head, length = int(frame["head"].iloc[0]), int(frame["length"].iloc[0])
-        digest = hashlib.sha256(data[head : head + length]).hexdigest()
+        digest = hashlib.sha256(data[head : head + length]).digest()
         return pd.DataFrame({"file": [frame.file.iloc[0]], "offset": [int(frame.start.iloc[0])], "mended_digest": [digest]})
 
-    return parts.select("file", "start", "head", "length", "place", "value").groupBy("file", "start").applyInPandas(joined, "file string, offset long, mended_digest string")
+    return parts.select("file", "start", "head", "length", "place", "value").groupBy("file", "start").applyInPandas(joined, "file long, offset long, mended_digest binary")
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """One row per record; revisits have the size and digest of the payload they refer to."""
-    records = checkpointed(scan_archive(spark, path).select("page_id", "url", "record_type", "refers_to", F.col("length").alias("payload_bytes"), "payload_digest"))
+    records = checkpointed(scan_archive(spark, path).select("page_id", "url", "record_type", "refers_to", F.col("length").alias("payload_bytes"), F.lower(F.hex("payload_digest")).alias("payload_digest")))
     names = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
     revisits = records.where("refers_to is not null")
     wanted = checkpointed(revisits.groupBy(F.col("refers_to").alias("first_id")).agg(F.count("*").alias("n")))
