@@ -352,8 +352,8 @@ def links(rows: DataFrame, firsts: DataFrame, rule: NearRule) -> DataFrame:
     kmers = checkpointed(kmers.join(used, F.col("id") == F.col("uid"), "left_semi").select("id", "kmers"))
     checks = verified(pairs.select("u", "v").distinct(), kmers, rule)
     found = checks.where("alike").select("u", "v")
-    # all members of the buckets that are of several classes so far
-    roots = components(found)
+    # all members of the buckets that are of several classes so far, as far as their links to hubs tell
+    roots = checkpointed(found.groupBy(F.col("v").alias("id")).agg(F.min("u").alias("root")))
     mixed = apart(pairs, roots).select("key").distinct()
     left = pairs.join(mixed, "key", "left_semi").select(F.explode(F.array("u", "v")).alias("mid")).distinct()
     held = checkpointed(kmers.join(left, F.col("id") == F.col("mid"), "left_semi"))
