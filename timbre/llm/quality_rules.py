@@ -35,7 +35,7 @@ class RatioRule:
     threshold: least mean log ratio per n-gram (nats) of a kept document.
     """
 
-    buckets: tuple[int, int] = (1 << 19, 1 << 16)
+    buckets: tuple[int, int] = (1 << 16, 1 << 15)
     trusted_rows: int = 20000
     smoothing: tuple[float, float] = (1.0, 16.0)
     threshold: float = -0.2
@@ -88,7 +88,8 @@ def ratio_weights(docs: DataFrame, labels: DataFrame, rule: RatioRule) -> DataFr
     one, two = (F.lit(x) for x in rule.smoothing)
     ratio = lambda x, scale, s: F.log((x["good"] * F.coalesce(scale, F.lit(0.0)) + s) / (x["raw"] + s))
     weight = F.transform("c", lambda x: F.when(x["b"] < rule.buckets[0], ratio(x, F.col("scale1"), one)).otherwise(ratio(x, F.col("scale2"), two)))
-    return packed.select(F.when(F.col("n_good") > 0, weight).otherwise(F.array_repeat(F.lit(0.0), sum(rule.buckets))).alias("weights"))
+    # 4 bytes a bucket: the array is copied for every document that it is joined with
+    return packed.select(F.when(F.col("n_good") > 0, weight).otherwise(F.array_repeat(F.lit(0.0), sum(rule.buckets))).cast("array<float>").alias("weights"))
 
 
 def judged(docs: DataFrame, labels: DataFrame, rule: RatioRule = RatioRule()) -> DataFrame:
