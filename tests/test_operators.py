@@ -143,12 +143,14 @@ def test_greedy_peaks_against_loop(spark):
     for _ in range(4):
         v = [rng.random() for _ in range(30)]
         want = []
-        for i in range(1, 29):
-            if v[i] >= v[i - 1] and v[i] >= v[i + 1] and v[i] >= 0.4 and (not want or i - want[-1] >= 3):
+        beyond = [float("-inf"), *v, float("-inf")]
+        for i in range(30):
+            if v[i] >= beyond[i] and v[i] >= beyond[i + 2] and v[i] >= 0.4 and (not want or i - want[-1] >= 3):
                 want.append(i)
         df = spark.createDataFrame([(v,)], "v array<double>")
         assert df.select(sequences.greedy_peaks(F.col("v"), 0.4, 3).alias("p")).first().p == want
-    assert spark.createDataFrame([([1.0],)], "v array<double>").select(sequences.greedy_peaks(F.col("v"), 0.4, 3).alias("p")).first().p == []
+    assert spark.createDataFrame([([1.0],)], "v array<double>").select(sequences.greedy_peaks(F.col("v"), 0.4, 3).alias("p")).first().p == [0]
+    assert spark.createDataFrame([([],)], "v array<double>").select(sequences.greedy_peaks(F.col("v"), 0.4, 3).alias("p")).first().p == []
 
 
 def test_purity_table(spark):
@@ -266,3 +268,46 @@ def test_nearest_rank(spark):
 
 def test_markdown(spark):
     assert reports.markdown_table(spark.createDataFrame([("a", 1.5)], "k string, v double")) == "| k | v |\n| --- | --- |\n| a | 1.5 |\n"
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_ranks_of_wide_rows(spark, adaptive):
+    """More rows than a sample of the range bounds holds, with columns beside the order's."""
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        rows = spark.range(0, 60_000, numPartitions=7).select("id", (F.col("id") * 7919 % 60_000).alias("v"), F.repeat(F.lit("wide"), 20).alias("w"), (F.col("id") % 3).alias("g"))
+        out = scoring.ranked(rows, [F.desc("v")], "r")
+        assert out.where("r = 59999 - v").count() == 60_000
+        groups = scoring.numbered(rows, [F.col("g"), F.col("v")], "r", by=["g"]).groupBy("g").agg(F.count_distinct("r").alias("n"), F.max("r").alias("m"))
+        assert {(r.n, r.m) for r in groups.collect()} == {(20_000, 19_999)}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def test_quantiles_against_percentile(spark):
+    rows = spark.range(1000).select(F.when(F.col("id") % 5 > 0, F.col("id") * 37 % 101 / 7).alias("a"), F.lit(None).cast("double").alias("b"))
+    want = rows.agg(F.percentile("a", F.array(F.lit(0.0), F.lit(0.33), F.lit(1.0)))).first()[0]
+    got = {(r.metric, r.q): (r.n, r.value) for r in scoring.quantiles(rows, ["a", "b"], [0.0, 0.33, 1.0]).collect()}
+    assert all(got["a", q][0] == 800 and abs(got["a", q][1] - x) < 1e-9 for q, x in zip((0.0, 0.33, 1.0), want))
+    assert got["b", 0.33] == (0, None)
+
+
+def test_silence_has_no_ratio(spark):
+    powers = spark.createDataFrame([(1, 0.0)] * 5, "k int, power double")
+    assert sequences.blind_snr(powers, ["k"]).first().snr_db == 0.0
+
+
+def test_label_schema_lists_what_is_checked():
+    schema = labels.label_schema()
+    assert schema["additionalProperties"] is False and schema["properties"]["emotion"]["required"] == ["primary", "intensity", "confidence"]
+    assert schema["properties"]["prosody"]["properties"]["expressiveness"] == {"type": "integer", "minimum": 1, "maximum": 5}
+    assert "paralinguistic" not in schema["required"] and "usable" in schema["required"]
+
+
+def test_any_failure_of_a_provider_is_kept(spark):
+    async def broken(clip_id, text):
+        raise KeyError("no such field")
+
+    rows = labels.label_calls(spark.createDataFrame([("a", "x")], "clip_id string, text string"), provider=broken).collect()
+    assert rows[0].response is None and "no such field" in rows[0].error

@@ -11,6 +11,7 @@ from collections.abc import Awaitable, Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from timbre import schemas
 from timbre.config import LabelRule
@@ -30,6 +31,9 @@ CHECKS = {
     "language.accent": schemas.ACCENTS,
 }
 OPTIONAL = frozenset(("emotion.secondary",))
+#: Fields of any value that must be there.
+REQUIRED = ("text_fixed", "text_punctuated", "prosody.prominent_stress", "context.summary", "language.primary", "language.code_switch", "usable")
+BLOCKS = ("emotion", "prosody", "context", "language")
 LIST_CHECKS = {"paralinguistic": schemas.EVENTS, "defects": schemas.DEFECTS}
 
 
@@ -51,9 +55,38 @@ def schema_errors(document: Column, labels: Column) -> Column:
         found.append(F.when(bad, path))
     for path, allowed in LIST_CHECKS.items():
         found.append(F.when(F.exists(F.coalesce(labels[path], F.array().cast("array<string>")), lambda x: ~x.isin(*allowed)), path))
-    keys = F.coalesce(F.json_object_keys(document), F.array().cast("array<string>"))
-    unknown = F.filter(keys, lambda k: ~k.isin(*(f.name for f in schemas.LABELS.fields)))
-    return F.concat(F.array_compact(F.array(*found)), F.transform(unknown, lambda k: F.concat(F.lit("unknown:"), k)))
+    for path in REQUIRED:
+        value = labels
+        for part in path.split("."):
+            value = value[part]
+        found.append(F.when(value.isNull(), path))
+    none = F.array().cast("array<string>")
+    known = {f.name: f.dataType for f in schemas.LABELS.fields}
+    keys = lambda text: F.coalesce(F.json_object_keys(text), none)
+    foreign = lambda text, names, prefix: F.transform(F.filter(keys(text), lambda k: ~k.isin(*names)), lambda k: F.concat(F.lit("unknown:" + prefix), k))
+    unknown = [foreign(document, list(known), "")]
+    unknown += [foreign(F.get_json_object(document, f"$.{block}"), known[block].fieldNames(), block + ".") for block in BLOCKS]
+    return F.concat(F.array_compact(F.array(*found)), *unknown)
+
+
+def label_schema() -> dict:
+    """The document's JSON schema, as it is sent along with a request."""
+    names = {"string": "string", "int": "integer", "double": "number", "boolean": "boolean"}
+
+    def of(kind, path: str) -> dict:
+        if isinstance(kind, T.StructType):
+            fields = {f.name: of(f.dataType, f"{path}.{f.name}".lstrip(".")) for f in kind.fields}
+            lists = {f.name for f in kind.fields if isinstance(f.dataType, T.ArrayType)}
+            wanted = [n for n in fields if n not in lists and f"{path}.{n}".lstrip(".") not in OPTIONAL]
+            return {"type": "object", "properties": fields, "required": wanted, "additionalProperties": False}
+        if isinstance(kind, T.ArrayType):
+            return {"type": "array", "items": {"type": "string", "enum": list(LIST_CHECKS[path])}}
+        out, allowed = {"type": names[kind.simpleString()]}, CHECKS.get(path)
+        if allowed is None:
+            return out
+        return out | ({"enum": list(allowed)} if isinstance(allowed[0], str) else {"minimum": allowed[0], "maximum": allowed[1]})
+
+    return of(schemas.LABELS, "")
 
 
 def parse_labels(df: DataFrame, response: str) -> DataFrame:
@@ -89,8 +122,8 @@ async def with_retry(call: Callable[[], Awaitable[str]], rule: LabelRule, rng: r
     for attempt in range(rule.max_attempts):
         try:
             return await call()
-        except LabelError as e:
-            if attempt + 1 == rule.max_attempts or not retryable(e.status, str(e)):
+        except Exception as e:  # noqa: BLE001
+            if attempt + 1 == rule.max_attempts or not retryable(getattr(e, "status", None), f"{type(e).__name__} {e}"):
                 raise
             await sleep(backoff(attempt, rule, rng))
     raise AssertionError
@@ -122,14 +155,14 @@ def label_calls(df: DataFrame, rule: LabelRule = LabelRule(), provider: Callable
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         async def batch(frame: pd.DataFrame) -> pd.DataFrame:
-            gate, rng = asyncio.Semaphore(rule.concurrency), random.Random(0)
+            gate, rng = asyncio.Semaphore(rule.concurrency), random.Random()
 
             async def one(clip_id: str, text: str):
                 async with gate:
                     try:
                         return clip_id, await with_retry(lambda: provider(clip_id, text), rule, rng), None
-                    except LabelError as e:
-                        return clip_id, None, str(e)[:500]
+                    except Exception as e:  # noqa: BLE001  a provider may fail in any way; the row keeps the error
+                        return clip_id, None, (str(e) or type(e).__name__)[:500]
 
             rows = await asyncio.gather(*(one(c, t or "") for c, t in zip(frame.clip_id, frame.text)))
             return pd.DataFrame(rows, columns=["clip_id", "response", "error"])

@@ -10,6 +10,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from timbre.config import SelectionRule
 from timbre.store import checkpointed
@@ -127,6 +128,13 @@ def ranked(df: DataFrame, order: Sequence[Column], name: str = "priority_rank")
     return numbered(df, order, name)
 
 
+def with_labels(df: DataFrame, labels: DataFrame | None, kind: T.StructType, key: str = "clip_id") -> DataFrame:
+    """``df`` with the columns of ``labels`` by ``key``; nulls of the same types where there is no such table."""
+    if labels is not None:
+        return df.join(labels, key, "left")
+    return df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in kind.fields if f.name != key})
+
+
 def expression_strength(expressiveness: Column, intensity: Column) -> Column:
     return F.coalesce(expressiveness * intensity, F.lit(0)).cast("double")
 

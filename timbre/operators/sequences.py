@@ -92,8 +92,8 @@ def framed_powers(df: DataFrame, by: Sequence[str], index: str, value: str, leng
 def blind_snr(powers: DataFrame, by: Sequence[str], eps: float = 1e-10) -> DataFrame:
     """(by, snr_db): 10 log10 of (p95 - p10) / p10 of frame powers, between -20 and 100."""
     out = powers.groupBy(*by).agg(F.percentile("power", F.array(F.lit(0.10), F.lit(0.95))).alias("p"))
-    noise, speech = F.greatest(F.col("p")[0], F.lit(eps)), F.col("p")[1]
-    ratio = F.greatest((speech - F.col("p")[0]) / noise, F.lit(eps))
+    noise = F.greatest(F.col("p")[0], F.lit(eps))
+    ratio = F.greatest(F.col("p")[1] - noise, F.lit(eps)) / noise  # silence is noise as loud as the signal: 0 dB
     return out.select(*by, F.greatest(F.lit(-20.0), F.least(F.lit(100.0), 10 * F.log10(ratio))).alias("snr_db"))
 
 
@@ -105,25 +105,46 @@ def energy_deviation(df: DataFrame, by: Sequence[str], rms: str, floor: float =
     return kept.groupBy(*by).agg(F.when(F.count(db) < 2, 0.0).otherwise(F.stddev_pop(db)).alias("energy_std_db"))
 
 
-def greedy_peaks(values: Column, least: float, apart: int) -> Column:
+def greedy_peaks(values: Column, least: Column | float, apart: int) -> Column:
     """Indexes of local maxima of an array, ``least`` or more, each ``apart`` or more after the last one taken.
 
+    What lies outside the array is below everything, so its ends can be maxima.
     The choice is stateful, so it is a fold over the array's places.
     """
-    place = F.sequence(F.lit(1), F.size(values) - 2)
-    fits = lambda i: (F.get(values, i) >= F.get(values, i - 1)) & (F.get(values, i) >= F.get(values, i + 1)) & (F.get(values, i) >= least)
+    place = F.sequence(F.lit(0), F.size(values) - 1)
+    beside = lambda i: F.coalesce(F.when(i >= 0, F.get(values, i)), F.lit(float("-inf")))
+    fits = lambda i: (F.get(values, i) >= beside(i - 1)) & (F.get(values, i) >= beside(i + 1)) & (F.get(values, i) >= least)
     far = lambda acc, i: (F.size(acc) == 0) | (i - F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(-apart)) >= apart)
     folded = F.aggregate(place, F.array().cast("array<int>"), lambda acc, i: F.when(fits(i) & far(acc, i), F.concat(acc, F.array(i))).otherwise(acc))
-    return F.when(F.size(values) >= 3, folded).otherwise(F.array().cast("array<int>"))
+    return F.when(F.size(values) >= 1, folded).otherwise(F.array().cast("array<int>"))
+
+
+def peak_rate_variation(df: DataFrame, by: Sequence[str], index: str, value: str, width: int, apart: int) -> DataFrame:
+    """(by, n_windows, rate_var_cv): deviation over mean of the peaks of whole windows of ``width`` frames.
+
+    A peak is at or above the median of the group. Less than two windows, or no
+    peak at all, give 0.
+    """
+    whole = df.groupBy(*by).agg(F.count("*").alias("__n"), F.percentile(value, F.lit(0.5)).alias("__least"))
+    framed = df.join(whole, list(by)).withColumn("__w", F.floor(F.col(index) / width)).where((F.col("__w") + 1) * width <= F.col("__n"))
+    windows = framed.groupBy(*by, "__w").agg(F.sort_array(F.collect_list(F.struct(index, value))).alias("__v"), F.first("__least").alias("__least"))  # ``width`` rows each
+    windows = windows.withColumn("__v", F.transform("__v", lambda x: x[value]))
+    peaks = windows.select(*by, F.size(greedy_peaks(F.col("__v"), F.col("__least"), apart)).alias("__p"))
+    out = peaks.groupBy(*by).agg(F.count("*").alias("n_windows"), F.avg("__p").alias("__m"), F.stddev_pop("__p").alias("__s"))
+    cv = F.when((F.col("n_windows") < 2) | (F.col("__m") <= 0), 0.0).otherwise(F.col("__s") / F.col("__m"))
+    return out.withColumn("rate_var_cv", cv).drop("__m", "__s")
 
 
 def window_cosines(df: DataFrame, by: Sequence[str], index: str, embedding: str) -> DataFrame:
-    """(by, index, cosine) of each window's vector to its group's mean vector, as 32-bit floats give to six places."""
-    cells = df.select(*by, index, F.posexplode(embedding).alias("__d", "__x")).withColumn("__x", F.col("__x").cast("double"))
-    mean = cells.groupBy(*by, "__d").agg(F.avg("__x").alias("__m"))
-    both = cells.join(mean, [*by, "__d"])
-    out = both.groupBy(*by, index).agg(F.sum(F.col("__x") * F.col("__m")).alias("dot"), F.sqrt(F.sum(F.col("__x") * F.col("__x"))).alias("a"), F.sqrt(F.sum(F.col("__m") * F.col("__m"))).alias("b"))
-    return out.select(*by, index, (F.col("dot") / ((F.col("a") + 1e-8) * (F.col("b") + 1e-8))).alias("cosine"))
+    """(by, index, cosine) of each window's vector to its group's mean vector.
+
+    Vectors stay arrays: only the means are worked out by dimension, with partial
+    sums, and joined back as one vector for each group.
+    """
+    means = centroid(df, by, embedding).groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("dim", "mean"))).alias("__m"))
+    both = df.select(*by, index, F.transform(embedding, lambda x: x.cast("double")).alias("__x")).join(means, list(by)).withColumn("__m", F.transform("__m", lambda x: x["mean"]))
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    return both.select(*by, index, (dot("__x", "__m") / ((F.sqrt(dot("__x", "__x")) + 1e-8) * (F.sqrt(dot("__m", "__m")) + 1e-8))).alias("cosine"))
 
 
 def centroid(df: DataFrame, by: Sequence[str], embedding: str) -> DataFrame:

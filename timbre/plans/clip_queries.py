@@ -156,10 +156,10 @@ SPINE = f"""{JOINED}, {SCORED}, spine AS (SELECT scored.*, s4.s4_status, s4.text
 LABELLED = "s0 s1 s2 s3 s4"
 
 
-def spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+def spine(spark: SparkSession, sf_dir: str, labelled: bool = True) -> DataFrame:
     scored = scoring.zscore_sum(joined(spark, sf_dir), WEIGHTS)
     s4 = standin(spark, sf_dir, "s4").select("clip_id", "s4_status", "text_verdict", "emotion_primary", "emotion_intensity", "prosody_expressiveness", "defects")
-    return kept(scored.join(s4, "clip_id", "left"))
+    return kept(scoring.with_labels(scored, s4 if labelled else None, s4.schema))
 
 
 @query("s5_join", with_standins(LABELLED, f"WITH {SPINE} SELECT clip_id, original_speaker, verdict, s4_status, text_verdict, emotion_primary, emotion_intensity, prosody_expressiveness, array_to_string(defects, '|') AS defects, round(prosody_dsp_score, 6) AS prosody_dsp_score FROM spine"))
@@ -167,6 +167,13 @@ def s5_join(spark, sf_dir):
     return spine(spark, sf_dir).select("clip_id", "original_speaker", "verdict", "s4_status", "text_verdict", "emotion_primary", "emotion_intensity", "prosody_expressiveness", F.when(F.col("defects").isNotNull(), F.concat_ws("|", "defects")).alias("defects"), *r6("prosody_dsp_score"))
 
 
+@query("s5_join_unlabelled", with_standins(STAGES, f"WITH {JOINED}, {SCORED} SELECT clip_id, cast(NULL AS varchar) AS text_verdict, cast(NULL AS int) AS emotion_intensity, 'missing_omni_labels' AS reject_reason, round(prosody_dsp_score, 6) AS prosody_dsp_score FROM scored"))
+def s5_join_unlabelled(spark, sf_dir):
+    """Scoring where there is no table of labels: all label columns are null, and every clip lacks its labels."""
+    rows = spine(spark, sf_dir, labelled=False).withColumn("reject_reason", gates.hard_constraint(RULE))
+    return rows.select("clip_id", "text_verdict", "emotion_intensity", "reject_reason", *r6("prosody_dsp_score"))
+
+
 REASON = """CASE WHEN text_verdict IS NULL THEN 'missing_omni_labels' WHEN text_verdict NOT IN ('match', 'fixable') THEN 'text_broken'
     WHEN list_has_any(coalesce(defects, []), ['truncated_head', 'truncated_tail']) THEN 'truncated_defect' WHEN verdict IS NULL OR verdict NOT IN ('single', 'intruded_trimmed') THEN 'verdict_rejected' END"""
 

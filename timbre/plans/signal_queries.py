@@ -67,6 +67,17 @@ def rate_variation(spark, sf_dir):
     return sequences.rate_variation(frames(spark, sf_dir), BY, "i", "value", 8).withColumn("rate_var_cv", F.round("rate_var_cv", 6))
 
 
+PEAKS = f"""{FRAMES}, n AS (SELECT user_id, count(*) AS n, quantile_cont(value, 0.5) AS least FROM frames GROUP BY user_id),
+    w AS (SELECT user_id, i, value, least, i // 8 AS k FROM frames JOIN n USING (user_id) WHERE (i // 8 + 1) * 8 <= n),
+    m AS (SELECT *, value >= least AND value >= coalesce(lag(value) OVER o, value) AND value >= coalesce(lead(value) OVER o, value) AS peak FROM w WINDOW o AS (PARTITION BY user_id, k ORDER BY i)),
+    c AS (SELECT user_id, k, count(*) FILTER (peak) AS p FROM m GROUP BY user_id, k)"""
+
+
+@query("peak_rate_variation", f"WITH {PEAKS} SELECT user_id, count(*) AS n_windows, round(CASE WHEN count(*) < 2 OR avg(p) <= 0 THEN 0 ELSE stddev_pop(p) / avg(p) END, 6) AS rate_var_cv FROM c GROUP BY user_id")
+def peak_rate_variation(spark, sf_dir):
+    return sequences.peak_rate_variation(frames(spark, sf_dir), BY, "i", "value", 8, 1).withColumn("rate_var_cv", F.round("rate_var_cv", 6))
+
+
 PITCH = f"""{FRAMES}, f AS (SELECT user_id, i, CASE WHEN event_id % 4 = 0 THEN 0 ELSE 60 + value END AS hz FROM frames),
     s AS (SELECT *, CASE WHEN hz > 0 THEN 12 * log2(hz / 55) END AS st, lag(hz) OVER (PARTITION BY user_id ORDER BY i) AS p FROM f),
     q AS (SELECT *, hz > 0 AND coalesce(p > 0, false) AS pair, abs(st - 12 * log2(greatest(p, 1e-9) / 55)) AS step FROM s)"""

@@ -191,6 +191,24 @@ def global_rank(spark, sf_dir):
     return scoring.ranked(table(spark, sf_dir, "orders"), [F.desc("o_totalprice"), F.asc("o_orderkey")]).select("o_orderkey", "priority_rank")
 
 
+@query("lineitem_ranked", "SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, row_number() OVER (ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1 AS priority_rank FROM lineitem")
+def lineitem_ranked(spark, sf_dir):
+    order = [F.desc("l_extendedprice"), *(F.asc(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))]
+    return scoring.ranked(table(spark, sf_dir, "lineitem"), order).select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "priority_rank")
+
+
+@query("label_schema_errors", """SELECT conv_id, turn, CASE conv_id % 5 WHEN 0 THEN 'unknown:emotion.mood' WHEN 1 THEN 'usable' WHEN 2 THEN 'text_fixed,context.summary' WHEN 3 THEN 'unknown:extra' END AS error FROM conversations""")
+def label_schema_errors(spark, sf_dir):
+    """Documents with a foreign key in a block, without a field, without two fields, with a foreign key on top, and whole ones."""
+    good = '{"text_verdict":"match","text_fixed":"","text_punctuated":"","emotion":{"primary":"happy","secondary":null,"intensity":2,"confidence":0.5},"prosody":{"expressiveness":3,"speaking_style":"speech","rhythm":"steady","prominent_stress":true},"context":{"scenario":"drama","register":"formal","summary":""},"language":{"primary":"en","code_switch":false,"accent":"standard"},"paralinguistic":["sigh"],"defects":[],"usable":true}'
+    bad = (good.replace('"intensity"', '"mood":1,"intensity"'), good.replace(',"usable":true', ""), good.replace('"text_fixed":"",', "").replace(',"summary":""', ""), good.replace('"usable"', '"extra":1,"usable"'), good)
+    kind, response = F.col("conv_id") % 5, F.lit(good)
+    for i, text in enumerate(bad):
+        response = F.when(kind == i, text).otherwise(response)
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", response.alias("response"))
+    return labels.parse_labels(rows, "response").select("conv_id", "turn", "error")
+
+
 @query("correlation", "SELECT count(*) AS n, round(corr(l_quantity, l_extendedprice), 6) AS r, round(avg(l_quantity - l_extendedprice), 4) AS mean_diff FROM lineitem")
 def correlation(spark, sf_dir):
     return reports.agreement(table(spark, sf_dir, "lineitem"), "l_quantity", "l_extendedprice").select("n", F.round("r", 6).alias("r"), F.round("mean_diff", 4).alias("mean_diff"))
