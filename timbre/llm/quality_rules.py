@@ -66,7 +66,7 @@ def trusted_ids(labels: DataFrame, rule: RatioRule) -> DataFrame:
 
 
 def ratio_weights(docs: DataFrame, labels: DataFrame, rule: RatioRule) -> DataFrame:
-    """One row, one array: the log ratio of each bucket, in bucket order.
+    """One row, one array: the log ratio of each bucket in thousandths, in bucket order.
 
     Counts come from one pass over all documents; its aggregate has a row for
     each bucket at most, so its size doesn't grow with the corpus.
@@ -88,8 +88,9 @@ def ratio_weights(docs: DataFrame, labels: DataFrame, rule: RatioRule) -> DataFr
     one, two = (F.lit(x) for x in rule.smoothing)
     ratio = lambda x, scale, s: F.log((x["good"] * F.coalesce(scale, F.lit(0.0)) + s) / (x["raw"] + s))
     weight = F.transform("c", lambda x: F.when(x["b"] < rule.buckets[0], ratio(x, F.col("scale1"), one)).otherwise(ratio(x, F.col("scale2"), two)))
-    # 4 bytes a bucket: the array is copied for every document that it is joined with
-    return packed.select(F.when(F.col("n_good") > 0, weight).otherwise(F.array_repeat(F.lit(0.0), sum(rule.buckets))).cast("array<float>").alias("weights"))
+    # thousandths in 2 bytes a bucket: the array is copied for every document that it is joined with
+    whole = F.transform(weight, lambda x: F.round(F.greatest(F.lit(-32.0), F.least(F.lit(32.0), x)) * 1000).cast("short"))
+    return packed.select(F.when(F.col("n_good") > 0, whole).otherwise(F.array_repeat(F.lit(0).cast("short"), sum(rule.buckets))).alias("weights"))
 
 
 def judged(docs: DataFrame, labels: DataFrame, rule: RatioRule = RatioRule()) -> DataFrame:
@@ -120,7 +121,7 @@ def judged(docs: DataFrame, labels: DataFrame, rule: RatioRule = RatioRule()) ->
     grams = ngram_buckets(w, n, rule.buckets)
     out = out.select("row", F.col("n").cast("long").alias("n_words"), "word_chars", "n_symbols", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), "n_repeat_words", grams.alias("grams"))
     out = out.crossJoin(weights)  # one row of fixed size
-    total = F.aggregate("grams", F.lit(0.0), lambda a, b: a + F.get(F.col("weights"), b))
+    total = F.aggregate("grams", F.lit(0).cast("long"), lambda a, b: a + F.get(F.col("weights"), b)) / 1000.0
     out = out.select("row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (total / F.greatest(F.size("grams"), F.lit(1))).alias("mean_ratio"))
     failed = (F.col("n_words") < rule.min_words) | (100 * F.col("n_repeat_words") > rule.max_repeat_percent * F.col("n_words"))
     out = out.withColumn("base_failed", failed)
