@@ -61,14 +61,16 @@ class PackRule:
 
 
 class Known(dict):
-    """A cache that works out what it doesn't hold."""
+    """A cache that works out what it doesn't hold, and holds keys of ``longest`` characters at most."""
 
-    def __init__(self, make: Callable[[str], bytes]):
+    def __init__(self, make: Callable[[str], bytes], longest: int):
         super().__init__()
-        self.make = make
+        self.make, self.longest = make, longest
 
     def __missing__(self, key: str) -> bytes:
-        value = self[key] = self.make(key)
+        value = self.make(key)
+        if len(key) <= self.longest:
+            self[key] = value
         return value
 
 
@@ -79,7 +81,8 @@ class WordEncoder:
     of a text are those of its parts between spaces and line ends. Parts of
     ordinary Latin-1 characters skip the normaliser, which leaves them as their
     lower case; all others are encoded as they are. The caches are emptied when
-    they are full.
+    they hold ``FULL`` parts, and don't take parts of more than ``LONGEST``
+    characters, so their bytes are bounded too.
     """
 
     # The file's own splitting pattern, and characters that its normaliser only lowers.
@@ -87,7 +90,8 @@ class WordEncoder:
     PLAIN = re.compile(r"[\x21-\x7e\xa1-\xac\xae-\xff]+")
     MARKUP = "<|"
     MARKS = frozenset(".,;:!?")
-    FULL = 1_000_000
+    FULL = 750_000
+    LONGEST = 64
 
     def __init__(self, path: str):
         self.whole = Tokenizer.from_file(path)
@@ -95,17 +99,12 @@ class WordEncoder:
         # bytes that don't print stand as characters from 256 on
         printing = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
         self.marks = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in printing)}
-        self.parts = Known(self.part)
-        self.words: dict[str, bytes] = {}
+        self.parts = Known(self.part, self.LONGEST)
+        self.words = Known(self.word, self.LONGEST)  # of parts that are more than a word
 
     def word(self, word: str) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            if len(self.words) >= self.FULL:
-                self.words.clear()
-            spelled = word if word.isascii() else word.encode().decode("latin-1").translate(self.marks)
-            ids = self.words[word] = self.packed([t.id for t in self.model.tokenize(spelled)])
-        return ids
+        spelled = word if word.isascii() else word.encode().decode("latin-1").translate(self.marks)
+        return self.packed([t.id for t in self.model.tokenize(spelled)])
 
     @staticmethod
     def packed(ids: list[int]) -> bytes:
@@ -116,16 +115,20 @@ class WordEncoder:
         last = part[-1:]
         core = part[:-1] if last in self.MARKS else part
         if core.isalpha() and (core.isascii() or self.PLAIN.fullmatch(core)):
-            ids = self.word(core.lower())
-            return ids if core is part else ids + self.word(last)
+            low = core.lower()
+            if low == part:
+                return self.word(low)
+            ids = self.parts[low]
+            return ids if core is part else ids + self.words[last]
         if not self.PLAIN.fullmatch(part) or self.MARKUP in part:
             return self.packed(self.whole.encode(part, add_special_tokens=False).ids)
-        return b"".join(map(self.word, self.SPLIT.findall(part.lower())))
+        return b"".join(map(self.words.__getitem__, self.SPLIT.findall(part.lower())))
 
     def __call__(self, text: str) -> np.ndarray:
         """Ids and the end token, as unsigned 16-bit numbers: the vocabulary has less than 65,536."""
-        if len(self.parts) >= self.FULL:
-            self.parts.clear()
+        for cache in (self.parts, self.words):
+            if len(cache) >= self.FULL:
+                cache.clear()
         parts = text.replace("\n", " ").split(" ")
         return np.frombuffer(b"".join(map(self.parts.__getitem__, parts)) + END.to_bytes(2, "little"), "<u2")
 
