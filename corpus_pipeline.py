@@ -24,6 +24,10 @@ from timbre.llm.retrieval_pack import packed_pieces
 from timbre.llm.source_mix import mix_sources
 
 
+#: Files whose places in the order (a row of some 100 bytes each) are broadcast.
+MOST_FILES = 100_000
+
+
 def in_written_order(docs: DataFrame, name: str) -> DataFrame:
     """Adds the number of each row in the order of the table's files and of the rows in them.
 
@@ -37,6 +41,8 @@ def in_written_order(docs: DataFrame, name: str) -> DataFrame:
     files = placed.groupBy("__file").agg(F.count("*").alias("n"))  # a row for each file
     before = F.sum("n").over(Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1))
     files = files.select(F.col("__file").alias("__f"), F.coalesce(before, F.lit(0)).alias("__before"))
+    if len(docs.inputFiles()) <= MOST_FILES:
+        files = F.broadcast(files)  # else the join exchanges the texts by file
     return placed.join(files, F.col("__file") == F.col("__f")).withColumn(name, F.col("__before") + F.col("__row")).drop("__file", "__row", "__f", "__before")
 
 
