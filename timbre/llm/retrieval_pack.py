@@ -46,6 +46,8 @@ from timbre.llm.common import checkpointed
 from timbre.operators.scoring import numbered
 
 END = 1
+#: Documents whose ids a worker holds at once.
+BATCH = 256
 
 
 @dataclass(frozen=True)
@@ -159,14 +161,14 @@ def tokenise(rule: PackRule) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(rule.tokenizer)
         kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.binary()), pa.binary(), pa.int64()]
-        for batch in batches:
+        for batch in (b.slice(i, BATCH) for b in batches for i in range(0, b.num_rows, BATCH)):
             out = []
             for text in batch.column(1):
                 ids = encode(text.as_py() or "")
                 whole = len(ids) // rule.window * rule.window
                 windows = [ids[i : i + rule.window] for i in range(0, whole, rule.window)]
                 out.append((len(ids), [crc_of(w) for w in windows], [np.unique(w).tobytes() for w in windows], ids[whole:].tobytes(), zlib.crc32(ids.tobytes())))
-            columns = list(zip(*out)) or [()] * len(kinds)
+            columns = list(zip(*out))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *(pa.array(c, k) for c, k in zip(columns, kinds))], names=[x.split()[0] for x in TOKEN_SCHEMA.split(", ")])
 
     return run
