@@ -5,12 +5,14 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -410,6 +412,33 @@ def test_encoder_equals_tokenizer():
         assert fast(text).tolist() == [*whole.encode(text, add_special_tokens=False).ids, 1]
 
 
+def test_encoder_of_batches():
+    """Distinct words, runs of marks, long and odd ones in batches, against the tokenizer; nothing stays in the worker."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole, fast = Tokenizer.from_file(path), retrieval_pack.WordEncoder(path)
+    rng = random.Random(4)
+    word = lambda k: "".join(rng.choice("etaoinshrdlucmfwypvbgkjqxzßéüñÀ") for _ in range(k)).title()
+    texts = [" ".join(word(rng.randint(1, 14)) + rng.choice(["", "", ",", "'s", "...", "!!!\n", "12", " ", "日"]) for _ in range(200)) for _ in range(150)]
+    texts += [None, "", "a" * 63, "b" * 64, "é" * 33, "ab" * 300, "!" * 200, "aaaa aaaaa <|endoftext|>\tx", *texts[:3]]
+    tracemalloc.start()
+    for got, text in zip(fast.batch(pa.array(texts)), texts, strict=True):
+        assert got.tolist() == [*whole.encode(text or "", add_special_tokens=False).ids, 1]
+    fast.batch(pa.array([" ".join(word(9) for _ in range(500))]))
+    before = tracemalloc.get_traced_memory()[0]
+    for _ in range(10):
+        fast.batch(pa.array([" ".join(word(9) for _ in range(2000))]))
+    kept = tracemalloc.get_traced_memory()[0] - before
+    tracemalloc.stop()
+    assert kept < 500_000  # 20,000 new words
+    assert fast.batch(pa.array([], pa.string())) == []
+
+
+def test_encoder_batches_are_bounded():
+    texts = ["x" * n for n in (10, 3 << 20, 2 << 20, 9 << 20, 1, 1)] + [None] * 3000
+    slices = [b.num_rows for b in retrieval_pack.bounded(pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"]), 0)]
+    assert slices[:3] == [2, 1, 1] and sum(slices) == len(texts) and max(slices) <= retrieval_pack.BATCH
+
+
 def test_bm25_order():
     rule = retrieval_pack.PackRule(window=10)
     pieces = [np.array(x, "<u2") for x in ([1, 2, 3, 4], [9, 9, 9], [1, 2, 3], [7, 7])]

@@ -27,17 +27,18 @@ an empty result; only two columns are read.
 
 from __future__ import annotations
 
+import json
 import re
-import struct
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -46,8 +47,8 @@ from timbre.llm.common import checkpointed
 from timbre.operators.scoring import numbered
 
 END = 1
-#: Documents whose ids a worker holds at once.
-BATCH = 256
+#: Documents, and bytes of text beyond the first document, whose ids a worker holds at once.
+BATCH, BATCH_BYTES = 1024, 4 << 20
 
 
 @dataclass(frozen=True)
@@ -62,77 +63,162 @@ class PackRule:
     tokenizer: str = public_tokenizers.path("word_bpe_49k.json")
 
 
-class Known(dict):
-    """A cache that works out what it doesn't hold, and holds keys of ``longest`` characters at most."""
+def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of all ranges that begin at ``starts``, one range after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
 
-    def __init__(self, make: Callable[[str], bytes], longest: int):
-        super().__init__()
-        self.make, self.longest = make, longest
 
-    def __missing__(self, key: str) -> bytes:
-        value = self.make(key)
-        if len(key) <= self.longest:
-            self[key] = value
-        return value
+class PairRanks:
+    """Ranks of many pairs of symbols at once: tables by a hash, each for the pairs whose place in the one before was taken."""
+
+    NONE = np.int32(2**31 - 1)
+    EMPTY = np.uint32(2**32 - 1)  # no pair: the vocabulary has less than 65,535 symbols
+
+    def __init__(self, left: np.ndarray, right: np.ndarray):
+        keys, rank = (left << 16 | right).astype(np.uint32), np.arange(len(left), dtype=np.int32)
+        self.tables = []
+        while len(keys):
+            bits = max(8, 2 + len(keys).bit_length())
+            multiplier, shift = np.uint32(0x9E3779B1 + 0x3C6EF372 * len(self.tables) & 0xFFFFFFFF | 1), np.uint32(32 - bits)
+            at = keys * multiplier >> shift
+            held, ranks = np.full(1 << bits, self.EMPTY), np.full(1 << bits, self.NONE)
+            held[at], ranks[at] = keys, rank
+            out = held[at] != keys
+            self.tables.append((multiplier, shift, held, ranks))
+            keys, rank = keys[out], rank[out]
+
+    def __call__(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys = left << np.uint32(16) | right
+        found = np.full(len(keys), self.NONE)
+        for multiplier, shift, held, ranks in self.tables:
+            at = keys * multiplier >> shift
+            hit = held[at] == keys
+            found[hit] = ranks[at[hit]]
+        return found
 
 
 class WordEncoder:
-    """Token ids of texts, by way of caches of the ids of their parts.
+    """Token ids of many texts at once; nothing is kept from one batch to the next.
 
     The vocabulary's pre-tokeniser never joins text over white space, so the ids
-    of a text are those of its parts between spaces and line ends. Parts of
-    ordinary Latin-1 characters skip the normaliser, which leaves them as their
-    lower case; all others are encoded as they are. The caches are emptied when
-    they hold ``FULL`` parts, and don't take parts of more than ``LONGEST``
-    characters, so their bytes are bounded too.
+    of a text are those of its parts between spaces and line ends. Arrow splits the
+    texts of a batch and numbers their distinct parts; these are split into words,
+    and the pair merges run over all distinct words side by side, in each step the
+    first pair of least rank of each word. Parts of ordinary Latin-1 characters
+    skip the normaliser, which leaves them as their lower case; all others, and
+    words of more than ``LONGEST`` bytes, go through the tokenizer one by one.
     """
 
-    # The file's own splitting pattern, and characters that its normaliser only lowers.
-    SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-    PLAIN = re.compile(r"[\x21-\x7e\xa1-\xac\xae-\xff]+")
+    # The file's own splitting pattern for lower-case Latin-1, and characters that its normaliser only lowers.
+    SPLIT = re.compile(r"\n|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|'(?:s|t|re|ve|m|ll|d)|[^\na-zªµºß-öø-ÿ0-9²³¹¼-¾]+")
+    PLAIN = re.compile(r"[\n\x21-\x7e\xa1-\xac\xae-\xff]*")
     MARKUP = "<|"
-    MARKS = frozenset(".,;:!?")
-    FULL = 750_000
     LONGEST = 64
 
     def __init__(self, path: str):
         self.whole = Tokenizer.from_file(path)
-        self.model = self.whole.model
+        model = json.loads(Path(path).read_text())["model"]
+        vocabulary, last = model["vocab"], model["end_of_word_suffix"]
         # bytes that don't print stand as characters from 256 on
         printing = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-        self.marks = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in printing)}
-        self.parts = Known(self.part, self.LONGEST)
-        self.words = Known(self.word, self.LONGEST)  # of parts that are more than a word
-
-    def word(self, word: str) -> bytes:
-        spelled = word if word.isascii() else word.encode().decode("latin-1").translate(self.marks)
-        return self.packed([t.id for t in self.model.tokenize(spelled)])
-
-    @staticmethod
-    def packed(ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}H", *ids)
-
-    def part(self, part: str) -> bytes:
-        # most parts are a word, or a word and a mark
-        last = part[-1:]
-        core = part[:-1] if last in self.MARKS else part
-        if core.isalpha() and (core.isascii() or self.PLAIN.fullmatch(core)):
-            low = core.lower()
-            if low == part:
-                return self.word(low)
-            ids = self.parts[low]
-            return ids if core is part else ids + self.words[last]
-        if not self.PLAIN.fullmatch(part) or self.MARKUP in part:
-            return self.packed(self.whole.encode(part, add_special_tokens=False).ids)
-        return b"".join(map(self.words.__getitem__, self.SPLIT.findall(part.lower())))
+        marks = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in printing)}
+        letters = [marks.get(b, chr(b)) for b in range(256)]
+        self.inner, self.last = (np.array([vocabulary[c + end] for c in letters], np.uint32) for end in ("", last))
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        left, right, self.merged = (np.array([vocabulary[x] for x in column], np.uint32) for column in zip(*((a, b, a + b) for a, b in merges)))
+        self.ranks = PairRanks(left, right)
+
+    def merge(self, data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Symbols of words, given their bytes one after the other and how many each has (one at least): all symbols, start and number for each word."""
+        begins = np.cumsum(sizes) - sizes
+        symbols = self.inner[data]
+        ends = begins + sizes - 1
+        symbols[ends] = self.last[data[ends]]
+        ranks = np.full(len(symbols), PairRanks.NONE)
+        ranks[:-1] = self.ranks(symbols[:-1], symbols[1:])
+        ranks[ends] = PairRanks.NONE  # the last symbol of a word has no pair
+        word, done, starts, counts, at = np.arange(len(sizes)), [], np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64), 0
+        while len(word):
+            least = np.minimum.reduceat(ranks, begins)
+            open_ = least != PairRanks.NONE
+            if not open_.all():
+                of = np.repeat(open_, sizes)
+                done.append(symbols[~of])
+                n = sizes[~open_]
+                starts[word[~open_]], counts[word[~open_]] = at + np.cumsum(n) - n, n
+                at += len(done[-1])
+                word, sizes, least, symbols, ranks = word[open_], sizes[open_], least[open_], symbols[of], ranks[of]
+                if not len(word):
+                    break
+                begins = np.cumsum(sizes) - sizes
+            hit = np.flatnonzero(ranks == np.repeat(least, sizes))
+            if len(hit) > len(word):
+                hit = hit[np.searchsorted(hit, begins)]  # the first of each word
+            symbols[hit] = self.merged[least]
+            keep = np.ones(len(symbols), np.bool_)
+            keep[hit + 1] = False
+            symbols, ranks = symbols[keep], np.delete(ranks, hit)  # the pair's own rank goes; that of its second symbol is set anew
+            hit = hit - np.arange(len(hit))
+            sizes = sizes - 1
+            begins = np.cumsum(sizes) - sizes
+            right, left = hit[hit < begins + sizes - 1], hit[hit > begins] - 1
+            ranks[right] = self.ranks(symbols[right], symbols[right + 1])
+            ranks[left] = self.ranks(symbols[left], symbols[left + 1])
+        return np.concatenate(done) if done else symbols, starts, counts
+
+    def words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct words, start and number for each; a line end has none."""
+        sizes = pc.binary_length(words).to_numpy().astype(np.int64)
+        offsets = np.frombuffer(words.buffers()[1], np.int32)[: len(words)].astype(np.int64)
+        data = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+        short = (sizes <= self.LONGEST) & (data[offsets] != 10)
+        ids, starts, counts = self.merge(data[ragged(offsets[short], sizes[short])], sizes[short])
+        begin, n = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        begin[short], n[short] = starts, counts
+        return self.others(ids, begin, n, words, np.flatnonzero(sizes > self.LONGEST))
+
+    def others(self, ids: np.ndarray, starts: np.ndarray, counts: np.ndarray, texts: pa.Array, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Adds the ids of these texts by the tokenizer itself."""
+        parts, at = [ids], len(ids)
+        for k in which.tolist():
+            parts.append(np.array(self.whole.encode(texts[k].as_py(), add_special_tokens=False).ids, ids.dtype))
+            starts[k], counts[k] = at, len(parts[-1])
+            at += counts[k]
+        return np.concatenate(parts), starts, counts
+
+    def parts(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct parts, start and number for each."""
+        texts, odd = parts.to_numpy(zero_copy_only=False).tolist(), []
+        joined = "\n".join(texts)
+        if not self.PLAIN.fullmatch(joined) or self.MARKUP in joined:
+            odd = [k for k, t in enumerate(texts) if not self.PLAIN.fullmatch(t) or self.MARKUP in t]
+            for k in odd:
+                texts[k] = ""
+            joined = "\n".join(texts)
+        words = pa.array(self.SPLIT.findall(joined.lower() + "\n"), pa.string()).dictionary_encode()
+        ids, starts, counts = self.words(words.dictionary)
+        which = words.indices.to_numpy()
+        ids, counts = ids[ragged(starts[which], counts[which])].astype("<u2"), counts[which]
+        line_end = which == pc.index(words.dictionary, "\n").as_py()
+        ends = np.cumsum(counts)[line_end]
+        starts = np.r_[0, ends[:-1]]
+        return self.others(ids, starts, ends - starts, parts, np.array(odd, np.int64))
+
+    def batch(self, texts: pa.Array) -> list[np.ndarray]:
+        """Of each text the ids and the end token, as unsigned 16-bit numbers: the vocabulary has less than 65,535."""
+        if not len(texts):
+            return []
+        split = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        coded = split.flatten().dictionary_encode()
+        ids, starts, counts = self.parts(coded.dictionary)
+        which = coded.indices.to_numpy()
+        starts, counts = starts[which], counts[which]
+        ends = np.r_[0, np.cumsum(counts)][np.cumsum(pc.list_value_length(split).to_numpy())]
+        return [np.append(x, np.uint16(END)) for x in np.split(ids[ragged(starts, counts)], ends[:-1])]
 
     def __call__(self, text: str) -> np.ndarray:
-        """Ids and the end token, as unsigned 16-bit numbers: the vocabulary has less than 65,536."""
-        for cache in (self.parts, self.words):
-            if len(cache) >= self.FULL:
-                cache.clear()
-        parts = text.replace("\n", " ").split(" ")
-        return np.frombuffer(b"".join(map(self.parts.__getitem__, parts)) + END.to_bytes(2, "little"), "<u2")
+        return self.batch(pa.array([text], pa.string()))[0]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -154,6 +240,17 @@ def crc_of(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
+def bounded(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of ``BATCH`` rows and some ``BATCH_BYTES`` of the column, one row at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy())
+    i = 0
+    while i < batch.num_rows:
+        full = np.searchsorted(ends, (ends[i - 1] if i else 0) + BATCH_BYTES, "right")
+        n = max(1, min(BATCH, int(full) - i))
+        yield batch.slice(i, n)
+        i += n
+
+
 TOKEN_SCHEMA = "doc_id long, place long, doc_tokens long, whole_crcs array<long>, whole_terms array<binary>, rest binary, salt long"
 
 
@@ -161,10 +258,9 @@ def tokenise(rule: PackRule) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(rule.tokenizer)
         kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.binary()), pa.binary(), pa.int64()]
-        for batch in (b.slice(i, BATCH) for b in batches for i in range(0, b.num_rows, BATCH)):
+        for batch in (x for b in batches for x in bounded(b, 1)):
             out = []
-            for text in batch.column(1):
-                ids = encode(text.as_py() or "")
+            for ids in encode.batch(batch.column(1)):
                 whole = len(ids) // rule.window * rule.window
                 windows = [ids[i : i + rule.window] for i in range(0, whole, rule.window)]
                 out.append((len(ids), [crc_of(w) for w in windows], [np.unique(w).tobytes() for w in windows], ids[whole:].tobytes(), zlib.crc32(ids.tobytes())))
