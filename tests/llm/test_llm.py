@@ -449,6 +449,32 @@ def test_bm25_order():
     assert sequences[0] == [(0, 0, 4), (2, 0, 3), (1, 0, 3)] and sequences[1] == [(3, 0, 2)]
 
 
+def test_line_filters_in_bits():
+    """The filters against sets of cells, and no more memory than their bits and the segments of the output."""
+    rng, cells = random.Random(6), 1 << 22
+    texts = ["\n".join(f"a line with the number {rng.randint(0, 4000)}" for _ in range(rng.randint(0, 60))) for _ in range(150)]
+    batch = pa.RecordBatch.from_arrays([pa.array([*range(149), None], pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    tracemalloc.start()
+    before = tracemalloc.get_traced_memory()[0]
+    got = {r["segment"][0].as_py(): (r["once"][0].as_py(), r["twice"][0].as_py()) for r in line_dedup.filter_builder(cells)(iter([batch]))}
+    most = tracemalloc.get_traced_memory()[1] - before
+    tracemalloc.stop()
+    assert most < cells  # two filters of a byte for each cell would take twice that
+    seen = Counter()
+    for text in texts[:149]:
+        seen.update({int(c) for c in line_dedup.cells_of(line_dedup.key_hashes(text), cells).ravel()})
+    for which, least in ((0, 1), (1, 2)):
+        found = {k * line_dedup.SEGMENT + int(c) for k, x in got.items() for c in np.flatnonzero(np.unpackbits(np.frombuffer(x[which], np.uint8)))}
+        assert found == {c for c, n in seen.items() if n >= least}
+
+
+def test_lines_drop_in_slices():
+    rows = pa.RecordBatch.from_arrays([pa.array(range(1300)), pa.array(["some line of text\nb"] * 1300), pa.array([None, [line_dedup.digest_of(b"some line of text")]] * 650, pa.list_(pa.binary()))], names=["row", "text", "drop"])
+    out = list(line_dedup._apply(iter([rows])))
+    assert max(b.num_rows for b in out) == line_dedup.SLICE and sum(b.num_rows for b in out) == 1300
+    assert [r for b in out for r in b.column(1).to_pylist()] == ["some line of text\nb", "b"] * 650
+
+
 # --- secrets ---
 
 

@@ -10,7 +10,7 @@ confirms those of two documents or more and finds the smallest ``doc_id``.
 Then each document gets the digests that it must lose.
 
 The filters have about eight cells per line and ``MAX_CELLS`` at most (16 MiB
-each when packed), whatever the corpus; beyond that more lines are suspected, so
+each, in bits from the start), whatever the corpus; beyond that more lines are suspected, so
 more of them shuffle, and the result stays the same.
 
 Edge cases: a null or empty text is one empty line; a row with a null ``doc_id``
@@ -41,6 +41,8 @@ MIN_CELLS, MAX_CELLS = 1 << 16, 1 << 27
 #: Cells of one segment of the filters, which is the unit of merging.
 SEGMENT = 1 << 18
 DIGEST = 16
+#: Documents whose kept lines a worker holds at once.
+SLICE = 512
 
 
 def key_of(line: bytes) -> bytes | None:
@@ -67,6 +69,14 @@ def cells_of(hashes: np.ndarray, cells: int) -> np.ndarray:
     return np.stack([(h1 + np.uint64(i) * h2) % np.uint64(cells) for i in range(PROBES)], axis=1).astype(np.int64)
 
 
+def packed(cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The cells as bits: distinct bytes of a filter, and the bits in each (as ``np.packbits`` has them)."""
+    cells = np.unique(cells)
+    byte, bit = cells >> 3, np.uint8(128) >> (cells & 7).astype(np.uint8)
+    first = np.flatnonzero(np.r_[True, byte[1:] != byte[:-1]])
+    return byte[first], np.bitwise_or.reduceat(bit, first)
+
+
 def filter_cells(lines: int) -> int:
     """A power of two: about ``CELLS_PER_LINE`` cells a line, within the bounds."""
     return min(MAX_CELLS, max(MIN_CELLS, 1 << (CELLS_PER_LINE * max(lines, 1) - 1).bit_length()))
@@ -74,19 +84,19 @@ def filter_cells(lines: int) -> int:
 
 def filter_builder(cells: int) -> Callable:
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once, twice = np.zeros(cells, np.bool_), np.zeros(cells, np.bool_)
+        once, twice = np.zeros(cells // 8, np.uint8), np.zeros(cells // 8, np.uint8)
         for batch in batches:
             for doc_id, text in zip(batch.column(0), batch.column(1)):
                 if not doc_id.is_valid or not len(h := key_hashes(text.as_py())):
                     continue
                 # one document sets a cell once, whichever of its keys do
-                hit = np.unique(cells_of(h, cells))
-                twice[hit[once[hit]]] = True
-                once[hit] = True
+                at, bits = packed(cells_of(h, cells))
+                twice[at] |= once[at] & bits
+                once[at] |= bits
         for k in range(0, cells, SEGMENT):
-            a, b = once[k : k + SEGMENT], twice[k : k + SEGMENT]
+            a, b = (x[k // 8 : (k + SEGMENT) // 8] for x in (once, twice))
             if a.any():
-                yield pa.RecordBatch.from_arrays([pa.array([k // SEGMENT], pa.int32()), pa.array([np.packbits(a).tobytes()]), pa.array([np.packbits(b).tobytes()])], names=["segment", "once", "twice"])
+                yield pa.RecordBatch.from_arrays([pa.array([k // SEGMENT], pa.int32()), pa.array([a.tobytes()]), pa.array([b.tobytes()])], names=["segment", "once", "twice"])
 
     return build
 
@@ -168,7 +178,7 @@ def deduped_text(text: str | None, drop: set[bytes]) -> tuple[str, int, int]:
 
 
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (b.slice(i, SLICE) for b in batches for i in range(0, b.num_rows, SLICE)):
         out = [deduped_text(t.as_py(), set(d.as_py() or ())) for t, d in zip(batch.column(1), batch.column(2))]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.int64())],
