@@ -140,7 +140,7 @@ def test_line_dedup(spark, docs):
 
 def duck(path, name):
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "embeddings", "pages"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{path}/{table}.parquet'")
     return con.execute(queries.ORACLE_SQL[name]).to_arrow_table()
 
