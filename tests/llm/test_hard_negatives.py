@@ -66,11 +66,11 @@ def test_walk_is_in_order_and_lazy():
     for _ in range(20):
         q = np.floor(rng.normal(0, 1, 2) * 50)
         stretch = tree.stretches(q[None])
-        walk = hn.Walk(tree, q, stretch[0], tree.gaps(q[None] * stretch[:, None])[0])
+        walk = hn.Walk(tree, q, stretch[0], tree.gaps(q[None] * stretch[:, None])[0], lambda s: tree.labels[s] != 3)
         opened.append(walk)
         scores = x @ q
         least, most = np.quantile(scores, [0.6, 0.7])
-        got = hn.first_of(walk.nearest(least, most, lambda s: tree.labels[s] != 3), 10)
+        got = hn.first_of(walk.nearest(least, most), 10)
         want = sorted((-s, i) for i, s in enumerate(scores) if least <= s <= most and i % 10 != 3)[:10]
         assert got == [(i, int(-s)) for s, i in want]
-    assert sum(len(w.scores) for w in opened) < 0.6 * len(opened) * sum(n[5] < 0 for n in tree.nodes)
+    assert sum(len(w.leaves) for w in opened) < 0.6 * len(opened) * sum(n[5] < 0 for n in tree.nodes)

@@ -29,10 +29,11 @@ from __future__ import annotations
 
 import heapq
 import math
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import partial
-from itertools import count
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -56,7 +57,7 @@ class MineRule:
     most_percent: int = 90
     shard_rows: int = 8192
     block_anchors: int = 4096
-    leaf_rows: int = 128
+    leaf_rows: int = 256
 
 
 MAX_NORM = 1 << 52
@@ -110,10 +111,10 @@ class VantageTree:
 
 
 class Walk:
-    """Nearest-first walks of one anchor through a tree; scores of a leaf are worked out once for all of its windows."""
+    """Nearest-first walks of one anchor over the rows that ``fits`` takes; a leaf is scored once for all of its windows."""
 
-    def __init__(self, tree: VantageTree, anchor: np.ndarray, stretch: float, gaps: np.ndarray):
-        self.tree, self.anchor, self.stretch, self.gaps, self.scores = tree, anchor, float(stretch), gaps.tolist(), {}
+    def __init__(self, tree: VantageTree, anchor: np.ndarray, stretch: float, gaps: np.ndarray, fits: Callable[[slice], np.ndarray]):
+        self.tree, self.anchor, self.stretch, self.gaps, self.fits, self.leaves = tree, anchor, float(stretch), gaps.tolist(), fits, {}
         self.total = tree.most + stretch * stretch * float(anchor @ anchor)
         self.slack = 1e-6 * (1.0 + math.sqrt(self.total))  # far above rounding, far below what a node spans
 
@@ -121,52 +122,46 @@ class Walk:
         """The squared distance of a row of that score."""
         return max(0.0, self.total - 2 * self.stretch * score)
 
-    def leaf(self, node: int) -> np.ndarray:
-        if node not in self.scores:
+    def leaf(self, node: int) -> tuple[list[float], list[int]]:
+        """Negated scores and ids of a leaf's fitting rows, nearest first."""
+        if node not in self.leaves:
             first, last = self.tree.nodes[node][:2]
-            self.scores[node] = self.tree.x[first:last] @ self.anchor
-        return self.scores[node]
-
-    def nearest(self, least: float, most: float, fits: Callable[[slice], np.ndarray]) -> Iterator[tuple[int, int]]:
-        """(id, score) of fitting rows with a score in [least, most], highest scores first, then by id."""
-        tree = self.tree
+            keep = self.fits(slice(first, last))
+            less, ids = -(self.tree.x[first:last] @ self.anchor)[keep], self.tree.ids[first:last][keep]
+            by = np.lexsort((ids, less))
+            self.leaves[node] = less[by].tolist(), ids[by].tolist()
+        return self.leaves[node]
+
+    def nearest(self, least: float, most: float) -> Iterator[tuple[int, int]]:
+        """(id, score) of rows with a score in [least, most], highest scores first, then by id."""
         inner = math.sqrt(self.square(most)) - self.slack if most < math.inf else 0.0
         outer = math.sqrt(self.square(least)) + self.slack if least > -math.inf else math.inf
-        # (squared distance, 0, node, its least and greatest distance) or (squared distance, 1, -score, id, number, rest of its leaf).
+        # (squared distance, 0, node, its least and greatest distance) or (squared distance, 1, -score, id, number, place in the leaf, its end, leaf).
         heap: list = [(0.0, 0, 0, 0.0, math.inf)]
-        number = count()
-
-        def push(at: int, found: list[int], scores: list[float]) -> None:
-            heapq.heappush(heap, (self.square(scores[at]), 1, -scores[at], found[at], next(number), (at + 1, found, scores)))
-
+        number, pop, push = count(), heapq.heappop, heapq.heappush
         while heap:
-            _, is_row, *item = heapq.heappop(heap)
+            _, is_row, node, near, *rest = pop(heap)
             if is_row:
-                score, name, _, rest = item
-                yield name, int(-score)
-                if rest[0] < len(rest[1]):
-                    push(*rest)
-                continue
-            node, near, wide = item
-            first, last, _, _, _, vantage, children = tree.nodes[node]
-            if vantage < 0:
-                scores, span = self.leaf(node), slice(first, last)
-                keep = np.flatnonzero((scores >= least) & (scores <= most) & fits(span))
-                if len(keep):
-                    found, scores = tree.ids[span][keep], scores[keep]
-                    by = np.lexsort((found, -scores))
-                    push(0, found[by].tolist(), scores[by].tolist())
+                yield near, int(-node)
+                _, at, end, leaf = rest
+                at += 1
+            elif (vantage := self.tree.nodes[node][5]) < 0:
+                leaf = self.leaf(node)
+                at, end = bisect_left(leaf[0], -most), bisect_right(leaf[0], -least)
+            else:
+                gap, (wide,) = self.gaps[vantage], rest
+                for child in self.tree.nodes[node][6]:
+                    low, high = self.tree.nodes[child][3:5]
+                    lower, upper = max(near, gap - high - self.slack, low - gap - self.slack), min(wide, gap + high + self.slack)
+                    if lower <= outer and upper >= inner:
+                        push(heap, (max(lower, inner, 0.0) ** 2, 0, child, lower, upper))
                 continue
-            gap = self.gaps[vantage]
-            for child in children:
-                low, high = tree.nodes[child][3:5]
-                lower, upper = max(near, gap - high - self.slack, low - gap - self.slack), min(wide, gap + high + self.slack)
-                if lower <= outer and upper >= inner:
-                    heapq.heappush(heap, (max(lower, inner, 0.0) ** 2, 0, child, lower, upper))
+            if at < end:
+                push(heap, (self.square(-leaf[0][at]), 1, leaf[0][at], leaf[1][at], next(number), at, end, leaf))
 
 
 def first_of(walk: Iterator[tuple[int, int]], k: int) -> list[tuple[int, int]]:
-    return [hit for _, hit in zip(range(k), walk)]
+    return list(islice(walk, k))
 
 
 def matrix(column: pa.ChunkedArray, dims: int) -> np.ndarray:
@@ -184,16 +179,16 @@ def shard_hits(rows: pa.Table, anchors: pa.Table, dims: int, rule: MineRule, win
     gaps = tree.gaps(asked * stretches[:, None])
     names = zip(anchors["anchor"].to_pylist(), anchors["vec_id"].to_pylist(), anchors["label"].to_pylist(), anchors["scores"].to_pylist())
     for n, (anchor, vec_id, label, scores) in enumerate(names):
-        walk = Walk(tree, asked[n], stretches[n], gaps[n])
         if windows:
+            walk = Walk(tree, asked[n], stretches[n], gaps[n], lambda s: tree.labels[s] != label)
             for win in sorted(set(scores)):
                 least, most = -(-rule.least_percent * win // 100), rule.most_percent * win // 100
                 if least <= most:
-                    found = first_of(walk.nearest(least, most, lambda s: tree.labels[s] != label), rule.negatives)
+                    found = first_of(walk.nearest(least, most), rule.negatives)
                     hits += [(anchor, at, i, s) for at, own in enumerate(scores) if own == win for i, s in found]
         else:
-            found = first_of(walk.nearest(-math.inf, math.inf, lambda s: (tree.labels[s] == label) & (tree.ids[s] != vec_id)), rule.positives)
-            hits += [(anchor, 0, i, s) for i, s in found]
+            walk = Walk(tree, asked[n], stretches[n], gaps[n], lambda s: (tree.labels[s] == label) & (tree.ids[s] != vec_id))
+            hits += [(anchor, 0, i, s) for i, s in first_of(walk.nearest(-math.inf, math.inf), rule.positives)]
     return pa.Table.from_pylist([dict(zip(HITS.names, h)) for h in hits], HITS)
 
 
