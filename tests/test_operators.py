@@ -106,12 +106,6 @@ def test_capped_round_robin_equals_loop(spark):
         assert {r.k for r in out.where("kept").collect()} == literal_round_robin(rows, 7)
 
 
-def test_rollover_counts_after_adding(spark):
-    df = spark.createDataFrame([("t", i, n) for i, n in enumerate([5, 5, 3, 20, 1, 9, 9])], "tier string, i int, size long")
-    out = [r.shard_no for r in sampling.rollover(df, ["tier"], ["i"], "size", 10).orderBy("i").collect()]
-    assert out == [0, 0, 1, 1, 2, 2, 3]
-
-
 @settings(max_examples=15, deadline=None)
 @given(st.lists(st.floats(0, 1, width=16), min_size=1, max_size=25))
 def test_runs_against_loop(values):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from timbre import schemas
 from timbre.functions import signal
 from timbre.operators import tasks
-from timbre.sources import shards, tables
+from timbre.sources import tables
 from timbre.streaming import incremental
 
 
@@ -49,23 +49,6 @@ def test_atomic_files(tmp_path):
     assert sorted(os.listdir(tmp_path)) == ["latest.json", "snapshot-20250102T030405Z.json"]
 
 
-def test_shards(spark, tmp_path):
-    voice = signal.encode_wav(signal.synthetic_voice(0.5), 16000)
-    members = [("a.wav", voice), ("a.json", shards.sidecar_of(id="a", text="hi", spk="s", lang="en", dur="x", dnsmos=3.5)), ("b.wav", voice), ("c.json", b"{}"), ("d.WAV", b"old"), ("d.WAV", voice), ("d.json", b"{\"wav\": \"D\"}")]
-    (tmp_path / "T1.tar").write_bytes(shards.tar_bytes(members))
-    (tmp_path / "T0.tar").write_bytes(shards.tar_bytes([]))
-    clips = shards.read_shards(spark, str(tmp_path))
-    rows = {r.clip_id: r for r in shards.resolved(clips).collect()}
-    assert set(rows) == {"a", "d"} and bytes(rows["d"].audio) == voice and rows["d"].original_id == "D"
-    assert rows["a"].original_speaker == "s" and rows["a"].duration_s is None and rows["a"].original_dnsmos == 3.5
-    assert [r.task_id for r in shards.shard_tasks(spark, str(tmp_path)).collect()] == ["T0", "T1"]
-    features = clips.select("clip_id", signal.features_udf()("audio").alias("f")).select("clip_id", "f.*").collect()
-    assert all(abs(r.duration_s - 0.5) < 1e-9 for r in features)
-    packed = shards.packed_tars(clips.withColumn("slice_id", F.lit("0")), "slice_id", "position").first()
-    again = list(shards.shard_clips("x", bytes(packed.tar)))
-    assert [c[1] for c in again] == ["a", "d"]
-
-
 def test_signal_kernels():
     rate = 16000
     tone = (0.5 * np.sin(2 * np.pi * 1000 * np.arange(rate) / rate)).astype(np.float32)

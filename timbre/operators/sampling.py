@@ -1,13 +1,11 @@
-"""Worklists, capped sampling, deterministic shuffles and size-bounded shards."""
+"""Worklists, capped sampling, deterministic shuffles and reading orders."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from timbre.operators.scoring import minmax, ranked, top_fraction, zscore_sum
 
@@ -65,27 +63,6 @@ def shuffled(df: DataFrame, key: str, seed: int = 1234) -> DataFrame:
     return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key)
 
 
-def rollover(df: DataFrame, group: Sequence[str], order: Sequence[str], size: str, cap: int) -> DataFrame:
-    """Adds shard_no: a shard is closed when its bytes reach ``cap``, counted after the row is added.
-
-    The fold runs over one (group, part) at a time, so a group must be cut into
-    parts of bounded size by its last column where it can be large.
-    """
-    schema = T.StructType([*df.schema.fields, T.StructField("shard_no", T.LongType())])
-
-    def fold(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(list(order), kind="stable")
-        number, held, out = 0, 0, []
-        for n in frame[size].fillna(0):
-            out.append(number)
-            held += n
-            if held >= cap:
-                number, held = number + 1, 0
-        return frame.assign(shard_no=out)
-
-    return df.groupBy(*group).applyInPandas(fold, schema)
-
-
 def first_seen_order(df: DataFrame, group: str, position: str) -> DataFrame:
     """Adds regroup_rank: groups by their first position, rows by position inside."""
     first = F.min(position).over(Window.partitionBy(group))
@@ -101,16 +78,3 @@ def repack_offsets(df: DataFrame, missing: Column) -> DataFrame:
 def slice_rows(df: DataFrame, slice_id: str) -> DataFrame:
     """A slice in reading order: shard, then offset, where a missing one counts as 0."""
     return df.where(F.col("slice_id") == slice_id).orderBy("shard", F.greatest(F.coalesce("offset", F.lit(0)), F.lit(0)), "clip_id")
-
-
-def batches_of(rows: Iterator, size: int) -> Iterator[list]:
-    """Lists of ``size`` items in order, the last one shorter."""
-    held = []
-    for row in rows:
-        held.append(row)
-        if len(held) == size:
-            yield held
-            held = []
-    if held:
-        yield held
-

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from timbre.config import ProsodyWeights
 from timbre.functions import text
-from timbre.operators import labels, reports, sampling, scoring, tasks
+from timbre.operators import labels, reports, rolling, sampling, scoring, tasks
 from timbre.plans.catalog import query
 from timbre.plans.standins import table
 
@@ -220,7 +220,7 @@ def correlation(spark, sf_dir):
     SELECT doc_id, source, cast(shard_no AS bigint) AS shard_no FROM f""")
 def size_rollover(spark, sf_dir):
     rows = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
-    return sampling.rollover(rows, ["source"], ["doc_id"], "n_chars", 50000).select("doc_id", "source", "shard_no")
+    return rolling.rollover(rows, ["source"], ["doc_id"], "n_chars", 50000).select("doc_id", "source", "shard_no")
 
 
 @query("deterministic_shuffle")

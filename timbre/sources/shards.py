@@ -1,14 +1,10 @@
-"""Tar shards of clips: a data source with a partition per shard, and writers of shards."""
+"""What the members of a tar shard are called and what their sidecars hold."""
 
 from __future__ import annotations
 
-import io
 import json
-import tarfile
-from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from timbre.functions.text import first_of, to_number
@@ -24,63 +20,15 @@ ALIASES = {
     "original_dnsmos": ("original_dnsmos", "dnsmos", "dnsmos_ovrl"),
 }
 NUMBERS = frozenset(("duration_s", "original_dnsmos"))
-CLIP_SCHEMA = "shard string, clip_id string, position long, member string, audio binary, sidecar string"
 
 
-def stem_of(name: str) -> str:
-    base = name.rsplit("/", 1)[-1]
-    return base.rsplit(".", 1)[0] if "." in base[1:] else base
+def stem(member: Column) -> Column:
+    """A member's name without its folders and its last suffix."""
+    return F.regexp_replace(F.substring_index(member, "/", -1), r"(?<=.)\.[^.]*$", "")
 
 
-def is_audio_name(name: str) -> bool:
-    return name.lower().endswith(AUDIO)
-
-
-def shard_clips(shard: str, data: bytes) -> Iterator[tuple]:
-    """Clips that have both an audio member and a JSON sidecar of its stem, in the audio's order.
-
-    Of members with one stem the last one counts.
-    """
-    with tarfile.open(fileobj=io.BytesIO(data)) as tar:
-        audio, sidecars, order = {}, {}, {}
-        for position, m in enumerate(tar):
-            if not m.isfile():
-                continue
-            stem = stem_of(m.name)
-            if is_audio_name(m.name):
-                audio[stem] = m
-                order.setdefault(stem, position)
-            elif m.name.lower().endswith(".json"):
-                sidecars[stem] = m
-        for stem in sorted(audio, key=order.get):
-            if stem in sidecars:
-                yield shard, stem, order[stem], audio[stem].name, tar.extractfile(audio[stem]).read(), tar.extractfile(sidecars[stem]).read().decode("utf-8", "replace")
-
-
-def _batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    names = [x.split()[0] for x in CLIP_SCHEMA.split(", ")]
-    for frame in frames:
-        for path, content in zip(frame.path, frame.content):
-            rows = []
-            for clip in shard_clips(stem_of(path), content):
-                rows.append(clip)
-                if len(rows) == 64:
-                    yield pd.DataFrame(rows, columns=names)
-                    rows = []
-            if rows:
-                yield pd.DataFrame(rows, columns=names)
-
-
-def read_shards(spark: SparkSession, path: str) -> DataFrame:
-    """The clips of all tars under ``path``, a shard per task where files are large."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tar").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", "content").mapInPandas(_batches, CLIP_SCHEMA)
-
-
-def shard_tasks(spark: SparkSession, path: str) -> DataFrame:
-    """(task_id): stems of the tars, sorted; contents aren't read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tar").option("recursiveFileLookup", "true").load(path)
-    return files.select(F.regexp_extract("path", r"([^/]+)\.tar$", 1).alias("task_id")).orderBy("task_id")
+def is_audio(member: Column) -> Column:
+    return F.lower(member).rlike("(" + "|".join(x.replace(".", r"\.") for x in AUDIO) + ")$")
 
 
 def resolved(clips: DataFrame, sidecar: str = "sidecar") -> DataFrame:
@@ -94,37 +42,5 @@ def resolved(clips: DataFrame, sidecar: str = "sidecar") -> DataFrame:
     return clips.withColumns({name: field(name) for name in ALIASES})
 
 
-def stem_index(members: DataFrame) -> DataFrame:
-    """(tar, stem, member) of (tar, position, member): the last member of a stem."""
-    stem = F.regexp_replace(F.substring_index("member", "/", -1), r"(?<=.)\.[^.]*$", "")
-    return members.groupBy("tar", stem.alias("stem")).agg(F.max_by("member", "position").alias("member"))
-
-
-def tar_bytes(members: list[tuple[str, bytes]]) -> bytes:
-    out = io.BytesIO()
-    with tarfile.open(fileobj=out, mode="w") as tar:
-        for name, data in members:
-            info = tarfile.TarInfo(name)
-            info.size = len(data)
-            tar.addfile(info, io.BytesIO(data))
-    return out.getvalue()
-
-
-def packed_tars(rows: DataFrame, group: str, order: str) -> DataFrame:
-    """(group, n, tar): rows (clip_id, member, audio, sidecar) of each group as one tar, in order.
-
-    A group is a slice or a rolled-over shard, so its size is bounded before.
-    """
-
-    def pack(frame: pd.DataFrame) -> pd.DataFrame:
-        members = []
-        for r in frame.sort_values(order, kind="stable").itertuples():
-            if r.audio is not None:
-                members += [(r.member, r.audio), (f"{stem_of(r.member)}.json", (r.sidecar or "{}").encode())]
-        return pd.DataFrame([(str(frame[group].iloc[0]), len(members) // 2, tar_bytes(members))], columns=["grp", "n", "tar"])
-
-    return rows.groupBy(group).applyInPandas(pack, "grp string, n long, tar binary")
-
-
 def sidecar_of(**fields: object) -> bytes:
     return json.dumps(fields, ensure_ascii=False).encode()
