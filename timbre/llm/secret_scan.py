@@ -5,8 +5,10 @@ text; a pattern is tried only where its keyword stands. Kinds whose tokens carry
 a checksum or an embedded structure are reported only if that holds. Runs of hex
 digits have no keyword, so a scan for long runs finds them.
 
-Edge cases: a null text is empty and has no spans; empty and very long texts,
-repeated rows and an empty table need nothing special; a null ``doc_id`` is
+Edge cases: a null text is empty and has no spans; a very long text is read a
+fixed number of times, whatever it holds; a token whose header isn't UTF-8 JSON, or
+is nested deeper than Python's parser goes, is no token; empty texts, repeated rows
+and an empty table need nothing special; a null ``doc_id`` is
 returned as null. Only the id and the text are read, so other columns can't clash.
 """
 
@@ -43,6 +45,7 @@ GITHUB_WORDS = ("ghp_", "gho_", "ghu_", "ghs_", "ghr_")
 GITHUB = re.compile(r"gh[pousr]_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")
 NPM = re.compile(r"npm_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")
 JWT = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]{16,})")
+TOKEN_RUN = re.compile(r"[A-Za-z0-9_-]*")
 PEM = re.compile(r"-----BEGIN ((?:[A-Z]+ )?PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
 BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
@@ -66,7 +69,7 @@ def names_algorithm(m: re.Match) -> bool:
     """A token whose header decodes to JSON with an ``alg``."""
     try:
         header = json.loads(base64.urlsafe_b64decode(m[1] + "=" * (-len(m[1]) % 4)))
-    except (ValueError, binascii.Error):
+    except (ValueError, binascii.Error, RecursionError):  # the last one: brackets nested too deep
         return False
     return isinstance(header, dict) and isinstance(header.get("alg"), str)
 
@@ -124,6 +127,8 @@ def spans_of(text: str) -> list[tuple[int, int, str]]:
             free[kind] = m.end()
             if valid(m):
                 found.append((at, m.end(), kind))
+        elif kind == "jwt":
+            free[kind] = TOKEN_RUN.match(text, at).end()  # a later start in the same run fails where this one has
     found += [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
     found.sort(key=lambda s: (s[0], KIND_ORDER[s[2]]))
     return found
