@@ -147,6 +147,29 @@ def test_greedy_peaks_against_loop(spark):
     assert spark.createDataFrame([([],)], "v array<double>").select(sequences.greedy_peaks(F.col("v"), 0.4, 3).alias("p")).first().p == []
 
 
+def test_greedy_peaks_of_long_arrays(spark):
+    """A million values, and arrays about as long as a block."""
+    rng = np.random.default_rng(3)
+    for n, apart in ((1_000_000, 5), (sequences.BLOCK, 2), (sequences.BLOCK + 1, 700), (3 * sequences.BLOCK - 1, 3000), (2500, 1)):
+        v = np.round(rng.random(n), 2)
+        beyond = np.concatenate([[-np.inf], v, [-np.inf]])
+        want, last = [], -apart
+        for i in np.flatnonzero((v >= beyond[:-2]) & (v >= beyond[2:]) & (v >= 0.3)).tolist():
+            if i - last >= apart:
+                want.append(i)
+                last = i
+        df = spark.createDataFrame([(v.tolist(),)], "v array<double>")
+        assert df.select(sequences.greedy_peaks(F.col("v"), 0.3, apart).alias("p")).first().p == want
+
+
+def test_variation_of_short_groups(spark):
+    rows = [("long", i, float(i % 5)) for i in range(32)] + [("short", i, 1.0) for i in range(7)] + [("one", i, 1.0) for i in range(9)]
+    df = spark.createDataFrame(rows, "g string, i long, v double")
+    for out in (sequences.rate_variation(df, ["g"], "i", "v", 8), sequences.peak_rate_variation(df, ["g"], "i", "v", 8, 2)):
+        got = {r.g: (r.n_windows, r.rate_var_cv) for r in out.collect()}
+        assert got["short"] == (0, 0.0) and got["one"] == (1, 0.0) and got["long"][0] == 4
+
+
 def test_purity_table(spark):
     cases = [  # n, mean, min, confidence, duration, first, last, start, end -> verdict
         ((1, 0.1, 0.1, 0.1, 2.0, None, None, None, None), "single"),

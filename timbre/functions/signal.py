@@ -1,4 +1,4 @@
-"""Signal measures: column forms over arrays of samples, and numpy kernels for Arrow UDFs."""
+"""Signal measures: aggregates over samples, and numpy kernels for Arrow UDFs."""
 
 from __future__ import annotations
 
@@ -16,14 +16,14 @@ EPS = 1e-10
 FRAME, HOP = 1024, 512
 
 
-def clipping_ratio(samples: Column, limit: float = 0.999) -> Column:
-    """Share of samples at full scale; 0 of none."""
-    hit = F.size(F.filter(samples, lambda x: F.abs(x) >= limit))
-    return F.when(F.size(samples) > 0, hit / F.size(samples)).otherwise(0.0)
+def clipped_share(sample: Column, limit: float = 0.999) -> Column:
+    """Aggregate over samples, a row each: the share at full scale; 0 of none."""
+    return F.coalesce(F.count_if(F.abs(sample) >= limit) / F.nullif(F.count(sample), F.lit(0)), F.lit(0.0))
 
 
-def peak_dbfs(samples: Column) -> Column:
-    return 20 * F.log10(F.array_max(F.transform(samples, F.abs)) + F.lit(1e-12))
+def peak_level(sample: Column) -> Column:
+    """Aggregate over samples, a row each: the greatest one in dB of full scale; null of none."""
+    return 20 * F.log10(F.max(F.abs(sample)) + F.lit(1e-12))
 
 
 def duration_s(count: Column, rate: Column) -> Column:

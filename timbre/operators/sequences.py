@@ -61,13 +61,22 @@ def pitch_stats(df: DataFrame, by: Sequence[str], index: str, hz: str, jump: flo
 
 
 def rate_variation(df: DataFrame, by: Sequence[str], index: str, value: str, width: int) -> DataFrame:
-    """(by, n_windows, rate_var_cv): deviation over mean of sums of whole windows of ``width`` frames."""
-    n = F.count("*").over(Window.partitionBy(*by))
-    framed = df.withColumns({"__w": F.floor(F.col(index) / width), "__n": n}).where((F.col("__w") + 1) * width <= F.col("__n"))
+    """(by, n_windows, rate_var_cv): deviation over mean of sums of whole windows of ``width`` frames.
+
+    Less than two windows, none included, give 0.
+    """
+    whole = df.groupBy(*by).agg(F.count("*").alias("__n"))
+    framed = df.join(whole, list(by)).withColumn("__w", F.floor(F.col(index) / width)).where((F.col("__w") + 1) * width <= F.col("__n"))
     sums = framed.groupBy(*by, "__w").agg(F.sum(value).alias("__v"))
-    out = sums.groupBy(*by).agg(F.count("*").alias("n_windows"), F.avg("__v").alias("__m"), F.stddev_pop("__v").alias("__s"))
+    return variation(whole.select(*by), sums, by)
+
+
+def variation(groups: DataFrame, windows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """(by, n_windows, rate_var_cv) of the windows' values ``__v``; groups without windows have 0."""
+    out = windows.groupBy(*by).agg(F.count("*").alias("n_windows"), F.avg("__v").alias("__m"), F.stddev_pop("__v").alias("__s"))
     cv = F.when((F.col("n_windows") < 2) | (F.col("__m") <= 0), 0.0).otherwise(F.col("__s") / F.col("__m"))
-    return out.withColumn("rate_var_cv", cv).drop("__m", "__s")
+    out = groups.join(out.withColumn("rate_var_cv", cv), list(by), "left")
+    return out.select(*by, F.coalesce("n_windows", F.lit(0)).alias("n_windows"), F.coalesce("rate_var_cv", F.lit(0.0)).alias("rate_var_cv"))
 
 
 def sliding_windows(df: DataFrame, duration: str, window: float, overlap: float) -> DataFrame:
@@ -105,18 +114,35 @@ def energy_deviation(df: DataFrame, by: Sequence[str], rms: str, floor: float =
     return kept.groupBy(*by).agg(F.when(F.count(db) < 2, 0.0).otherwise(F.stddev_pop(db)).alias("energy_std_db"))
 
 
+#: Places of an array that are folded together.
+BLOCK = 1024
+
+
 def greedy_peaks(values: Column, least: Column | float, apart: int) -> Column:
     """Indexes of local maxima of an array, ``least`` or more, each ``apart`` or more after the last one taken.
 
     What lies outside the array is below everything, so its ends can be maxima.
-    The choice is stateful, so it is a fold over the array's places.
+    The choice is stateful: a fold over the maxima, in blocks that pass on the last
+    one taken, so that no step copies more than a block's choice.
     """
-    place = F.sequence(F.lit(0), F.size(values) - 1)
     beside = lambda i: F.coalesce(F.when(i >= 0, F.get(values, i)), F.lit(float("-inf")))
     fits = lambda i: (F.get(values, i) >= beside(i - 1)) & (F.get(values, i) >= beside(i + 1)) & (F.get(values, i) >= least)
-    far = lambda acc, i: (F.size(acc) == 0) | (i - F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(-apart)) >= apart)
-    folded = F.aggregate(place, F.array().cast("array<int>"), lambda acc, i: F.when(fits(i) & far(acc, i), F.concat(acc, F.array(i))).otherwise(acc))
-    return F.when(F.size(values) >= 1, folded).otherwise(F.array().cast("array<int>"))
+    none = F.array().cast("array<int>")
+    state = lambda last, kept: F.struct(last.alias("last"), kept.alias("kept"))
+    take = lambda acc, i: F.when(i - acc["last"] >= apart, state(i, F.concat(acc["kept"], F.array(i)))).otherwise(acc)
+    # blocks of places; the maxima in a block are those of its stretch of values
+    cuts = F.sequence(F.lit(0), F.size(values) - 1, F.lit(BLOCK))
+    inside = lambda at: F.filter(F.sequence(at, F.least(at + BLOCK, F.size(values)) - 1), fits)
+    block = lambda last, at: F.aggregate(inside(at), state(last, none), take)
+
+    def add(acc: Column, at: Column) -> Column:
+        # the block is folded once: an array of its one outcome
+        outcome = F.transform(F.array(block(acc["last"], at)), lambda o: F.struct(o["last"].alias("last"), F.concat(acc["kept"], F.array(o["kept"])).alias("kept")))
+        return outcome[0]
+
+    start = F.struct(F.lit(-apart).alias("last"), F.array().cast("array<array<int>>").alias("kept"))
+    folded = F.flatten(F.aggregate(cuts, start, add)["kept"])
+    return F.when(F.size(values) >= 1, folded).otherwise(none)
 
 
 def peak_rate_variation(df: DataFrame, by: Sequence[str], index: str, value: str, width: int, apart: int) -> DataFrame:
@@ -130,9 +156,7 @@ def peak_rate_variation(df: DataFrame, by: Sequence[str], index: str, value: str
     windows = framed.groupBy(*by, "__w").agg(F.sort_array(F.collect_list(F.struct(index, value))).alias("__v"), F.first("__least").alias("__least"))  # ``width`` rows each
     windows = windows.withColumn("__v", F.transform("__v", lambda x: x[value]))
     peaks = windows.select(*by, F.size(greedy_peaks(F.col("__v"), F.col("__least"), apart)).alias("__p"))
-    out = peaks.groupBy(*by).agg(F.count("*").alias("n_windows"), F.avg("__p").alias("__m"), F.stddev_pop("__p").alias("__s"))
-    cv = F.when((F.col("n_windows") < 2) | (F.col("__m") <= 0), 0.0).otherwise(F.col("__s") / F.col("__m"))
-    return out.withColumn("rate_var_cv", cv).drop("__m", "__s")
+    return variation(whole.select(*by), peaks.withColumnRenamed("__p", "__v"), by)
 
 
 def window_cosines(df: DataFrame, by: Sequence[str], index: str, embedding: str) -> DataFrame:

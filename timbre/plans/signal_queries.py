@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from timbre.functions import signal
@@ -62,7 +62,7 @@ def pause_stats(spark, sf_dir):
     return out.select("user_id", "pause_count", F.round("pause_total_ms", 3).alias("pause_total_ms"), F.round("speech_s", 3).alias("speech_s"))
 
 
-@query("rate_variation", f"WITH {FRAMES}, w AS (SELECT user_id, i // 8 AS k, sum(value) AS v FROM (SELECT *, count(*) OVER (PARTITION BY user_id) AS n FROM frames) WHERE (i // 8 + 1) * 8 <= n GROUP BY user_id, i // 8) SELECT user_id, count(*) AS n_windows, round(CASE WHEN count(*) < 2 OR avg(v) <= 0 THEN 0 ELSE stddev_pop(v) / avg(v) END, 6) AS rate_var_cv FROM w GROUP BY user_id")
+@query("rate_variation", f"WITH {FRAMES}, w AS (SELECT user_id, i // 8 AS k, sum(value) AS v FROM (SELECT *, count(*) OVER (PARTITION BY user_id) AS n FROM frames) WHERE (i // 8 + 1) * 8 <= n GROUP BY user_id, i // 8) SELECT user_id, count(v) AS n_windows, round(CASE WHEN count(v) < 2 OR avg(v) <= 0 THEN 0 ELSE stddev_pop(v) / avg(v) END, 6) AS rate_var_cv FROM (SELECT DISTINCT user_id FROM events) LEFT JOIN w USING (user_id) GROUP BY user_id")
 def rate_variation(spark, sf_dir):
     return sequences.rate_variation(frames(spark, sf_dir), BY, "i", "value", 8).withColumn("rate_var_cv", F.round("rate_var_cv", 6))
 
@@ -73,7 +73,7 @@ PEAKS = f"""{FRAMES}, n AS (SELECT user_id, count(*) AS n, quantile_cont(value,
     c AS (SELECT user_id, k, count(*) FILTER (peak) AS p FROM m GROUP BY user_id, k)"""
 
 
-@query("peak_rate_variation", f"WITH {PEAKS} SELECT user_id, count(*) AS n_windows, round(CASE WHEN count(*) < 2 OR avg(p) <= 0 THEN 0 ELSE stddev_pop(p) / avg(p) END, 6) AS rate_var_cv FROM c GROUP BY user_id")
+@query("peak_rate_variation", f"WITH {PEAKS} SELECT user_id, count(p) AS n_windows, round(CASE WHEN count(p) < 2 OR avg(p) <= 0 THEN 0 ELSE stddev_pop(p) / avg(p) END, 6) AS rate_var_cv FROM n LEFT JOIN c USING (user_id) GROUP BY user_id")
 def peak_rate_variation(spark, sf_dir):
     return sequences.peak_rate_variation(frames(spark, sf_dir), BY, "i", "value", 8, 1).withColumn("rate_var_cv", F.round("rate_var_cv", 6))
 
@@ -118,14 +118,21 @@ def arrays(spark: SparkSession, sf_dir: str, scale: float) -> DataFrame:
     return rows.groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct("i", F.col("value").alias("v")))).alias("a")).select("user_id", F.transform("a", clip).alias("samples"))
 
 
+def clipped(scale: float) -> Column:
+    """Values as samples in [-1, 1]."""
+    return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("value") / scale))
+
+
 @query("clipping_ratio", "SELECT user_id, round(avg(CASE WHEN abs(greatest(-1, least(1, value / 100))) >= 0.999 THEN 1.0 ELSE 0.0 END), 6) AS clipping_ratio FROM events GROUP BY user_id")
 def clipping_ratio(spark, sf_dir):
-    return arrays(spark, sf_dir, 100.0).select("user_id", F.round(signal.clipping_ratio(F.col("samples")), 6).alias("clipping_ratio"))
+    rows = table(spark, sf_dir, "events").groupBy("user_id").agg(signal.clipped_share(clipped(100.0)).alias("clipping_ratio"))
+    return rows.withColumn("clipping_ratio", F.round("clipping_ratio", 6))
 
 
 @query("peak_dbfs", "SELECT user_id, round(20 * log10(max(abs(greatest(-1, least(1, value / 1000)))) + 1e-12), 6) AS peak_dbfs FROM events GROUP BY user_id")
 def peak_dbfs(spark, sf_dir):
-    return arrays(spark, sf_dir, 1000.0).select("user_id", F.round(signal.peak_dbfs(F.col("samples")), 6).alias("peak_dbfs"))
+    rows = table(spark, sf_dir, "events").groupBy("user_id").agg(signal.peak_level(clipped(1000.0)).alias("peak_dbfs"))
+    return rows.withColumn("peak_dbfs", F.round("peak_dbfs", 6))
 
 
 @query("peak_count")
@@ -133,6 +140,18 @@ def peak_count(spark, sf_dir):
     return arrays(spark, sf_dir, 100.0).select("user_id", F.size(sequences.greedy_peaks(F.col("samples"), 0.5, 3)).alias("peaks"))
 
 
+#: The greedy choice as jumps: the next peak is the first maximum far enough from the last one.
+SPACED = f"""{FRAMES}, s AS (SELECT user_id, i, greatest(-1, least(1, value / 100)) AS v FROM frames), m AS (SELECT user_id, i FROM (SELECT *, lag(v) OVER o AS b, lead(v) OVER o AS a FROM s WINDOW o AS (PARTITION BY user_id ORDER BY i)) WHERE v >= coalesce(b, v) AND v >= coalesce(a, v) AND v >= 0.5),
+    taken AS (SELECT user_id, min(i) AS i FROM m GROUP BY user_id UNION ALL SELECT user_id, i FROM (SELECT t.user_id, t.i AS last, min(m.i) AS i FROM taken t JOIN m ON m.user_id = t.user_id AND m.i >= t.i + 3 GROUP BY t.user_id, t.i))"""
+
+
+@query("spaced_peaks", f"WITH RECURSIVE {SPACED} SELECT u.user_id, count(i) AS peaks, coalesce(max(i), -1) AS last_peak, cast(coalesce(sum(i), 0) AS bigint) AS places FROM (SELECT DISTINCT user_id FROM events) u LEFT JOIN taken USING (user_id) GROUP BY u.user_id")
+def spaced_peaks(spark, sf_dir):
+    """Peaks three frames or more apart, in each user's samples."""
+    rows = arrays(spark, sf_dir, 100.0).select("user_id", sequences.greedy_peaks(F.col("samples"), 0.5, 3).alias("p"))
+    return rows.select("user_id", F.size("p").cast("long").alias("peaks"), F.coalesce(F.array_max("p"), F.lit(-1)).cast("long").alias("last_peak"), F.aggregate("p", F.lit(0).cast("long"), lambda a, x: a + x).alias("places"))
+
+
 @query("wav_features")
 def wav_features(spark, sf_dir):
     """Features of a synthetic voice for each label of ``embeddings``, encoded and decoded as WAV."""

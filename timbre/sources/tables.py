@@ -99,8 +99,3 @@ def write_documents(df: DataFrame, path: str, tiered_only: bool = True) -> None:
     """One JSON document per clip and line; only clips with a tier unless asked otherwise."""
     rows = df.where("selection.tier IS NOT NULL") if tiered_only else df
     rows.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
-
-
-def merge_labels(spark: SparkSession, source: str, target: str, version: str) -> None:
-    """All label parts with the schema's version, in place of an earlier merge."""
-    read_stage(spark, source).withColumn("schema_version", F.lit(version)).write.mode("overwrite").option("compression", "zstd").parquet(target)
