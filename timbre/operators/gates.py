@@ -77,7 +77,7 @@ def scope_filter(scope: str | None, top_only: bool = True) -> Column:
     scope = scope or ("prime" if top_only else "s3")
     known = {"prime": F.col("tier") == "prime", "s3": F.col("s3_eligible"), "s1": F.lit(True)}
     if scope not in known:
-        raise ValueError(f"unknown publish scope: {scope!r}")
+        raise ValueError(f"no such scope: {scope!r}; known are {', '.join(known)}")
     return known[scope]
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from timbre.functions.text import is_rate_limit
-from timbre.operators.scoring import quantiles, ranked
+from timbre.operators.scoring import numbered, quantiles
 
 # Quantile points of calibration; tokens and prices of a label.
 QUANTILES = (0.01, 0.05, 0.10, 0.25, 0.50, 0.75, 0.90, 0.95, 0.99)
@@ -50,10 +50,10 @@ def suggested_thresholds(df: DataFrame, metrics: Sequence[tuple[str, str]], surv
 
 def nearest_rank(df: DataFrame, score: str, fraction: float) -> DataFrame:
     """(n, cut): the value of rank min(n - 1, int(fraction * n)) in ascending order."""
-    values = df.where(F.col(score).isNotNull()).select(F.col(score).alias("v"))
-    placed = ranked(values, [F.asc("v")], "r").crossJoin(F.broadcast(values.agg(F.count("*").alias("n"))))
+    counts = df.where(F.col(score).isNotNull()).groupBy(F.col(score).alias("v")).agg(F.count("*").alias("c"))  # rows of one score are one row
+    placed = numbered(counts, [F.asc("v")], "r", weight=F.col("c")).crossJoin(F.broadcast(counts.agg(F.sum("c").alias("n"))))
     want = F.least(F.col("n") - 1, F.floor(F.lit(float(fraction)) * F.col("n")))
-    return placed.where(F.col("r") == want).select("n", F.col("v").alias("cut"))
+    return placed.where((F.col("r") <= want) & (want < F.col("r") + F.col("c"))).select("n", F.col("v").alias("cut"))
 
 
 def survival(df: DataFrame, gate: Column) -> DataFrame:
@@ -99,11 +99,11 @@ def tier_counts(df: DataFrame, tiers: Sequence[str], column: str = "tier") -> Da
     return wanted.join(counts, F.col("tier") == F.col("__t"), "left").select("tier", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
-def markdown_table(df: DataFrame, limit: int = 1000) -> str:
-    """A small result as a Markdown table; it must have ``limit`` rows at most."""
+def markdown_table(df: DataFrame, limit: int = 1000, digits: str = ".3g") -> str:
+    """A small result as a Markdown table; it must have ``limit`` rows at most. ``digits`` is the format of numbers that aren't whole (``g`` for six digits)."""
     rows = df.limit(limit + 1).collect()
     if len(rows) > limit:
         raise ValueError(f"a report has {limit} rows at most")
-    show = lambda v: "" if v is None else f"{v:.3g}" if isinstance(v, float) else str(v)
+    show = lambda v: "" if v is None else f"{v:{digits}}" if isinstance(v, float) else str(v)
     lines = [df.columns, ["---"] * len(df.columns), *([show(v) for v in r] for r in rows)]
     return "\n".join("| " + " | ".join(x) + " |" for x in lines) + "\n"

@@ -42,20 +42,22 @@ def capped_round_robin(df: DataFrame, cap: int | None, speaker: str, bucket: str
     """Adds kept: at most ``cap`` rows of a speaker, dealt in turn over its buckets.
 
     The n-th best rows of all buckets come before the (n+1)-th best; among them
-    the bucket of the better best row, then of the greater name. A first rank
-    inside (speaker, bucket) feeds the rank inside the speaker.
+    the bucket of the better best row, then of the greater name. ``key`` is unique.
+
+    Only narrow rows are ranked. Each task first keeps its own best ``cap`` rows of
+    a (speaker, bucket), then of a speaker (Spark does so before the exchange of a
+    rank that is cut), so a speaker who has most of the rows, or rows without one,
+    are spread over all tasks.
     """
     if cap is None:
         return df.withColumn("kept", F.lit(True))
-    who, what = F.coalesce(speaker, F.lit("")), F.coalesce(bucket, F.lit(""))
-    out = df.withColumns({"__who": who, "__what": what})
-    inner = Window.partitionBy("__who", "__what").orderBy(F.desc(score), F.asc(key))
-    out = out.withColumns({"__rk": F.row_number().over(inner), "__best": F.first(score).over(inner)})
-    # a row beyond the cap in its bucket is beyond it in any order of the speaker, so only the others are ordered again
-    near = out.where(F.col("__rk") <= cap)
-    turn = F.row_number().over(Window.partitionBy("__who").orderBy("__rk", F.desc("__best"), F.desc("__what")))
-    near = near.withColumn("kept", turn <= cap)
-    return near.unionByName(out.where(F.col("__rk") > cap).withColumn("kept", F.lit(False))).drop("__who", "__what", "__rk", "__best")
+    rows = df.select(F.col(key).alias("__key"), F.col(score).alias("__score"), F.coalesce(speaker, F.lit("")).alias("__who"), F.coalesce(bucket, F.lit("")).alias("__what"))
+    inner = Window.partitionBy("__who", "__what").orderBy(F.desc("__score"), F.asc("__key"))
+    near = rows.withColumn("__rk", F.row_number().over(inner)).where(F.col("__rk") <= cap)
+    near = near.withColumn("__best", F.max("__score").over(Window.partitionBy("__who", "__what")))
+    turn = Window.partitionBy("__who").orderBy("__rk", F.desc("__best"), F.desc("__what"))
+    picked = near.withColumn("__turn", F.row_number().over(turn)).where(F.col("__turn") <= cap).select("__key", F.lit(True).alias("__kept"))
+    return df.join(picked, F.col(key) == F.col("__key"), "left").withColumn("kept", F.coalesce("__kept", F.lit(False))).drop("__key", "__kept")
 
 
 def shuffled(df: DataFrame, key: str, seed: int = 1234) -> DataFrame:

@@ -25,10 +25,19 @@ RELEASE_TIERS = ("prime", "extended", "s3rejected")
 
 def table(spec: str) -> T.StructType:
     """A type of comma-separated ``name kind`` pairs, all nullable."""
-    kinds = {"string": T.StringType(), "double": T.DoubleType(), "long": T.LongType(), "int": T.IntegerType(), "boolean": T.BooleanType()}
+    kinds = {"string": T.StringType(), "double": T.DoubleType(), "long": T.LongType(), "int": T.IntegerType(), "boolean": T.BooleanType(), "strings": T.ArrayType(T.StringType())}
     return T.StructType([T.StructField(n, kinds[k]) for n, k in (x.split() for x in spec.split(",") if x.strip())])
 
 
+def nested(blocks: dict) -> T.StructType:
+    """A type of named blocks, each a list of fields or blocks again; the fields of unnamed ones ("", " ") stand between them."""
+    out = []
+    for name, inner in blocks.items():
+        kind = nested(inner) if isinstance(inner, dict) else table(inner)
+        out += [T.StructField(name, kind)] if name.strip() else kind.fields
+    return T.StructType(out)
+
+
 S0 = table("clip_id string, shard string, original_id string, original_speaker string, original_text string, original_language string, duration_s double, original_dnsmos double, dur_ok boolean, lang_ok boolean, dnsmos_ok boolean, text_ok boolean, passed boolean, reject_reason string")
 S1 = table("clip_id string, shard string, aes_pq double, aes_pc double, aes_ce double, aes_cu double, dnsmos_sig double, dnsmos_bak double, dnsmos_ovrl double, snr_db double, clipping_ratio double, bandwidth_hz double, loudness_lufs double, passed boolean, reject_reason string")
 S2 = table("clip_id string, shard string, f0_mean_hz double, f0_std_st double, f0_range_st double, energy_std_db double, speech_rate_cps double, rate_var_cv double, pause_count long, pause_total_ms double, f0_tracker_confidence double")
