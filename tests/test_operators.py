@@ -328,3 +328,50 @@ def test_any_failure_of_a_provider_is_kept(spark):
 
     rows = labels.label_calls(spark.createDataFrame([("a", "x")], "clip_id string, text string"), provider=broken).collect()
     assert rows[0].response is None and "no such field" in rows[0].error
+
+
+def test_malformed_answers_are_asked_for_again(spark):
+    """The first answers of a clip are broken in several ways; a clip whose answers all are keeps its row."""
+
+    def maker():
+        seen = {}
+
+        async def provider(clip_id, text):
+            n = seen[clip_id] = seen.get(clip_id, 0) + 1
+            good = labels.seeded_document(clip_id, text)
+            if clip_id == "never":
+                return "{"
+            bad = ["{", "null", "[]", good.replace('"usable": true', '"usable": 1'), good.replace('"emotion"', '"mood"')]
+            return bad[n - 1] if n <= int(clip_id) else "```json\n" + good + "\n```"
+
+        return provider
+
+    rule = config.LabelRule(max_attempts=6, backoff_cap_s=0.0)
+    clips = spark.createDataFrame([(str(k), "t") for k in range(6)] + [("never", None)], "clip_id string, text string").coalesce(1)
+    rows = {r.clip_id: r for r in labels.label_rows(labels.label_calls(clips, rule, maker())).collect()}
+    assert [rows[str(k)].s4_status for k in range(6)] == ["ok"] * 6 and rows["3"].labels.text_fixed == "t"
+    assert rows["never"].s4_status == "failed" and rows["never"].error.startswith("malformed answer") and rows["never"].labels is None
+
+
+def test_validation_in_and_after_the_call_agree(spark):
+    import json
+
+    good = json.loads(labels.seeded_document("c", "text"))
+    changes = [{}, {"mood": 1}, {"usable": None}, {"emotion": {**good["emotion"], "primary": "bored"}}, {"emotion": {**good["emotion"], "secondary": "sad"}}, {"emotion": {**good["emotion"], "intensity": 9}}, {"defects": ["rust"]}, {"prosody": {k: v for k, v in good["prosody"].items() if k != "rhythm"}}, {"context": {**good["context"], "x": 1}}, {"language": None}, {"text_verdict": None}]
+    texts = [json.dumps({**good, **c}) for c in changes]
+    after = {r.i: r.s4_status for r in labels.parse_labels(spark.createDataFrame(list(enumerate(texts)), "i int, response string"), "response").collect()}
+    for i, t in enumerate(texts):
+        assert (after[i] == "ok") == (not labels.problems(json.loads(t), labels.label_schema())), t
+    assert [after[i] for i in range(5)] == ["ok", "failed", "failed", "failed", "ok"]
+
+
+def test_triaged_clips_have_no_labels(spark):
+    async def triage(clip_id, text):
+        return labels.seeded_document(clip_id, text).replace('"usable": true', '"usable": false') if clip_id == "b" else labels.seeded_document(clip_id, text)
+
+    clips = spark.createDataFrame([("a", "x"), ("b", "y")], "clip_id string, text string")
+    poor = spark.createDataFrame([("ok", True), ("ok", False), ("failed", None)], "s4_status string, usable boolean")
+    rows = {r.clip_id: r for r in labels.label_pass(clips, poor, triage=triage).collect()}
+    assert rows["b"].s4_status == "ok" and rows["b"].labels is None and rows["b"].triaged and rows["a"].labels is not None
+    fine = labels.label_pass(clips, poor.where("usable"), triage=triage).collect()
+    assert not any(r.triaged for r in fine) and all(r.labels is not None for r in fine)

@@ -7,6 +7,7 @@ import hashlib
 import json
 import random
 from collections.abc import Awaitable, Callable, Iterator
+from typing import TypeVar
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -16,6 +17,8 @@ from pyspark.sql import types as T
 from timbre import schemas
 from timbre.config import LabelRule
 
+T_ = TypeVar("T_")
+
 #: path: closed vocabulary, or bounds of a number.
 CHECKS = {
     "text_verdict": schemas.TEXT_VERDICTS,
@@ -89,6 +92,41 @@ def label_schema() -> dict:
     return of(schemas.LABELS, "")
 
 
+KINDS = {"object": dict, "array": list, "string": str, "boolean": bool, "integer": int, "number": (int, float)}
+
+
+def problems(value: object, schema: dict, path: str = "") -> list[str]:
+    """Names of the fields of a parsed document that its schema doesn't allow or misses."""
+    if value is None:
+        return []  # whether it may be missing is for the block that holds it
+    kind = schema["type"]
+    if not isinstance(value, KINDS[kind]) or isinstance(value, bool) and kind != "boolean":
+        return [path or "malformed"]
+    if kind == "array":
+        return [path] if any(x not in schema["items"]["enum"] for x in value) else []
+    if kind != "object":
+        fine = value in schema["enum"] if "enum" in schema else schema.get("minimum", value) <= value <= schema.get("maximum", value)
+        return [] if fine else [path]
+    at = lambda name: f"{path}.{name}".lstrip(".")
+    found = [at(n) for n in schema["required"] if value.get(n) is None] + ["unknown:" + at(n) for n in value if n not in schema["properties"]]
+    return found + [x for n, s in schema["properties"].items() for x in problems(value.get(n), s, at(n))]
+
+
+def checked(answer: str | None, schema: dict) -> dict:
+    """The document of a provider's answer; one that doesn't parse or validate is an error that may pass on another try."""
+    text = (answer or "").strip()
+    if text.startswith("```"):
+        text = text.removeprefix("```").removeprefix("json").strip()
+        text = text.removesuffix("```").strip()
+    try:
+        document = json.loads(text)
+    except (ValueError, RecursionError) as e:
+        raise LabelError(f"malformed answer: {type(e).__name__}") from e
+    if found := problems(document, schema) if document is not None else ["malformed"]:
+        raise LabelError(f"malformed answer: {','.join(found)}")
+    return document
+
+
 def parse_labels(df: DataFrame, response: str) -> DataFrame:
     """Adds labels, schema_errors, s4_status and error; what doesn't parse or validate has null labels."""
     out = df.withColumn("__doc", unfenced(F.col(response)))
@@ -118,7 +156,7 @@ class LabelError(Exception):
         self.status = status
 
 
-async def with_retry(call: Callable[[], Awaitable[str]], rule: LabelRule, rng: random.Random, sleep=asyncio.sleep) -> str:
+async def with_retry(call: Callable[[], Awaitable[T_]], rule: LabelRule, rng: random.Random, sleep=asyncio.sleep) -> T_:
     for attempt in range(rule.max_attempts):
         try:
             return await call()
@@ -147,30 +185,62 @@ async def seeded_provider(clip_id: str, text: str) -> str:
     return seeded_document(clip_id, text)
 
 
-def label_calls(df: DataFrame, rule: LabelRule = LabelRule(), provider: Callable[[str, str], Awaitable[str]] = seeded_provider) -> DataFrame:
-    """(clip_id, response, error): one call per row of (clip_id, text), some at a time in each task.
+Provider = Callable[[str, str], Awaitable[str]]
+CALLS = "clip_id string, response string, error string, triaged boolean"
 
-    A call that fails for good keeps its row, with the error and no response.
+
+def label_calls(df: DataFrame, rule: LabelRule = LabelRule(), provider: Provider = seeded_provider, triage: Provider | None = None) -> DataFrame:
+    """(clip_id, response, error, triaged): one labelled row per row of (clip_id, text), some at a time in each task.
+
+    An answer is parsed and validated inside its call, so a malformed one is asked
+    for again. A call that fails for good keeps its row, with the error and no
+    response. With ``triage``, a short call comes first; a clip that it finds not
+    usable has no further call, no response and no error, and is ``triaged``.
     """
+    schema = label_schema()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         async def batch(frame: pd.DataFrame) -> pd.DataFrame:
             gate, rng = asyncio.Semaphore(rule.concurrency), random.Random()
 
+            async def ask(call: Provider, clip_id: str, text: str) -> tuple[str, dict]:
+                async def once() -> tuple[str, dict]:
+                    answer = await call(clip_id, text)
+                    return answer, checked(answer, schema)
+
+                return await with_retry(once, rule, rng)
+
             async def one(clip_id: str, text: str):
                 async with gate:
                     try:
-                        return clip_id, await with_retry(lambda: provider(clip_id, text), rule, rng), None
+                        if triage is not None and not (await ask(triage, clip_id, text))[1]["usable"]:
+                            return clip_id, None, None, True
+                        return clip_id, (await ask(provider, clip_id, text))[0], None, False
                     except Exception as e:  # noqa: BLE001  a provider may fail in any way; the row keeps the error
-                        return clip_id, None, (str(e) or type(e).__name__)[:500]
+                        return clip_id, None, (str(e) or type(e).__name__)[:500], False
 
             rows = await asyncio.gather(*(one(c, t or "") for c, t in zip(frame.clip_id, frame.text)))
-            return pd.DataFrame(rows, columns=["clip_id", "response", "error"])
+            return pd.DataFrame(rows, columns=["clip_id", "response", "error", "triaged"])
 
         for frame in frames:
             yield asyncio.run(batch(frame))
 
-    return df.select("clip_id", "text").mapInPandas(run, "clip_id string, response string, error string")
+    return df.select("clip_id", "text").mapInPandas(run, CALLS)
+
+
+def label_rows(calls: DataFrame) -> DataFrame:
+    """(clip_id, s4_status, error, triaged, labels) of every call: failed ones keep their error, triaged ones are ok without labels."""
+    rows = parse_labels(calls.withColumnRenamed("error", "__error"), "response")
+    lost = F.col("__error").isNotNull()
+    status = F.when(F.col("triaged"), "ok").when(lost, "failed").otherwise(F.col("s4_status"))
+    error = F.when(~F.col("triaged"), F.coalesce("__error", "error"))
+    return rows.select("clip_id", status.alias("s4_status"), error.alias("error"), "triaged", F.when(~F.col("triaged") & ~lost, F.col("labels")).alias("labels"))
+
+
+def label_pass(df: DataFrame, pilot: DataFrame | None = None, rule: LabelRule = LabelRule(), provider: Provider = seeded_provider, triage: Provider = seeded_provider) -> DataFrame:
+    """Label rows of ``df``; with triage first where the rule wants two passes or too few documents of ``pilot`` (s4_status, usable) are usable."""
+    rate = 1.0 if pilot is None else pilot_rate(pilot).first().pilot_rate
+    return label_rows(label_calls(df, rule, provider, triage if needs_second_pass(rate, rule) else None))
 
 
 def pilot_rate(df: DataFrame) -> DataFrame:

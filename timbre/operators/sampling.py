@@ -60,9 +60,14 @@ def capped_round_robin(df: DataFrame, cap: int | None, speaker: str, bucket: str
     return df.join(picked, F.col(key) == F.col("__key"), "left").withColumn("kept", F.coalesce("__kept", F.lit(False))).drop("__key", "__kept")
 
 
+def shuffle_order(key: str, seed: int = 1234) -> list[Column]:
+    """An order that depends on the key and the seed alone."""
+    return [F.asc(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))), F.asc(key)]
+
+
 def shuffled(df: DataFrame, key: str, seed: int = 1234) -> DataFrame:
     """Rows in an order that depends on their key and the seed alone."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key)
+    return df.orderBy(*shuffle_order(key, seed))
 
 
 def first_seen_order(df: DataFrame, group: str, position: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from timbre.config import ProsodyWeights
+from timbre.config import LabelRule, ProsodyWeights
 from timbre.functions import text
 from timbre.operators import labels, reports, rolling, sampling, scoring, tasks
 from timbre.plans.catalog import query
@@ -155,7 +155,11 @@ def throughput_eta(spark, sf_dir):
     return out.withColumn("eta_hours", F.round("eta_hours", 6))
 
 
-@query("hash_partition")
+#: CRC-32 of the bytes of an ASCII text, a bit at a time.
+CRC = "xor(list_reduce(list_transform(string_split(task_id, ''), lambda c: cast(ascii(c) AS bigint)), lambda crc, b: list_reduce([0, 1, 2, 3, 4, 5, 6, 7], lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END, xor(crc, b)), cast(4294967295 AS bigint)), 4294967295)"
+
+
+@query("hash_partition", f"WITH {TASKS} SELECT task_id, cast({CRC} % 8 AS int) AS worker FROM tasks")
 def hash_partition(spark, sf_dir):
     rows = task_rows(spark, sf_dir)
     return rows.select("task_id", text.hash_slot(F.col("task_id"), 8).alias("worker"))
@@ -223,9 +227,11 @@ def size_rollover(spark, sf_dir):
     return rolling.rollover(rows, ["source"], ["doc_id"], "n_chars", 50000).select("doc_id", "source", "shard_no")
 
 
-@query("deterministic_shuffle")
+@query("deterministic_shuffle", "SELECT doc_id, source, row_number() OVER (ORDER BY md5(concat('1234:', doc_id)), doc_id) - 1 AS place FROM documents")
 def deterministic_shuffle(spark, sf_dir):
-    return sampling.shuffled(table(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id")
+    """Documents in shuffled order, with their places in it."""
+    rows = sampling.shuffled(table(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id")
+    return scoring.ranked(rows, sampling.shuffle_order("doc_id"), "place")
 
 
 @query("event_props", "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
@@ -233,6 +239,30 @@ def event_props(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"))
 
 
+def answering(first_tries: int):
+    """A provider that answers a clip of an odd number wrongly at first, and one in seven always."""
+    seen: dict[str, int] = {}
+
+    async def provider(clip_id: str, text: str) -> str:
+        n = seen[clip_id] = seen.get(clip_id, 0) + 1
+        key = int(clip_id.split("-")[0])
+        if key % 7 == 0 or key % 2 == 1 and n <= first_tries:
+            return "{not json"
+        return labels.seeded_document(clip_id, text)
+
+    return provider
+
+
+@query("label_retries", """SELECT concat(conv_id, '-', turn) AS clip_id, CASE WHEN conv_id % 7 = 0 THEN 'failed' ELSE 'ok' END AS s4_status, CASE WHEN conv_id % 7 = 0 THEN 'malformed answer: JSONDecodeError' END AS error,
+    CASE WHEN conv_id % 7 <> 0 THEN coalesce(text, '') END AS text_fixed, CASE WHEN conv_id % 7 <> 0 THEN md5(coalesce(text, '')) END AS digest FROM conversations""")
+def label_retries(spark, sf_dir):
+    """Turns labelled by a provider whose answers are malformed at first or for good."""
+    rows = table(spark, sf_dir, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("clip_id"), "text")
+    rule = LabelRule(max_attempts=3, backoff_cap_s=0.0)
+    out = labels.label_rows(labels.label_calls(rows, rule, answering(2)))
+    return out.select("clip_id", "s4_status", "error", F.col("labels.text_fixed").alias("text_fixed"), F.md5(F.col("labels.text_punctuated").cast("binary")).alias("digest"))
+
+
 @query("label_parse", """SELECT conv_id, turn, CASE conv_id % 4 WHEN 0 THEN 'ok' WHEN 1 THEN 'ok' ELSE 'failed' END AS s4_status,
     CASE conv_id % 4 WHEN 2 THEN 'emotion.intensity' WHEN 3 THEN 'malformed' END AS error, CASE WHEN conv_id % 4 < 2 THEN 'happy' END AS emotion FROM conversations""")
 def label_parse(spark, sf_dir):
