@@ -77,3 +77,17 @@ def test_stream_appends_once(spark, tmp_path):
         incremental.run_incrementally(incremental.arriving(spark, source, schema), lambda b: b.where("id < 100"), target, mark).awaitTermination()
         assert spark.read.parquet(target).count() == n
         spark.range(10, 13).write.mode("append").parquet(source)
+
+
+def test_reject_rates_of_arriving_parts(spark, tmp_path):
+    source = str(tmp_path / "in")
+    moment = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 60)
+    spark.range(60).select(moment.alias("ts"), (F.col("id") % 3 != 0).alias("passed"), F.when(F.col("id") % 3 == 0, "short").alias("reject_reason")).write.parquet(source)
+    stream = incremental.arriving(spark, source, spark.read.parquet(source).schema)
+    rates = incremental.reject_rates(stream, "ts")
+    assert rates.isStreaming
+    query = rates.writeStream.format("memory").queryName("rates").outputMode("complete").trigger(availableNow=True).start()
+    query.awaitTermination()
+    rows = spark.table("rates").collect()
+    assert sum(r.n for r in rows if r.reject_reason == "short") == 20 and sum(r.n for r in rows) == 60
+    assert len({r.window.start for r in rows}) == 7  # an hour that begins inside a window of ten minutes

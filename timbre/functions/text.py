@@ -64,10 +64,6 @@ def suffix(path: Column) -> Column:
     return F.lower(F.regexp_extract(base_name(path), r".(\.[^.]*)$", 1))
 
 
-def is_audio(path: Column) -> Column:
-    return F.lower(path).rlike(r"\.(flac|wav|ogg|mp3|opus)$")
-
-
 def shortened(error: Column, size: int = 500) -> Column:
     return F.left(error, F.lit(size))
 
@@ -84,8 +80,13 @@ def is_rate_limit(error: Column) -> Column:
     return F.lower(F.coalesce(error, F.lit(""))).rlike("429|throttl|rate limit|ratelimit|too many requests")
 
 
+def iso_utc(moment: Column) -> Column:
+    """A timestamp of the session's time zone as UTC with a Z."""
+    return F.date_format(F.to_utc_timestamp(moment, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
 def utc_now() -> Column:
-    return F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return iso_utc(F.current_timestamp())
 
 
 def file_stamp(iso: Column) -> Column:
@@ -97,8 +98,9 @@ def content_hash(c: Column) -> Column:
 
 
 def hash_fraction(*parts: Column | str) -> Column:
-    """A number in [0, 1) that depends on the parts alone."""
-    return F.pmod(F.xxhash64(*parts), F.lit(1 << 31)) / F.lit(float(1 << 31))
+    """A number in [0, 1) that depends on the parts alone: the first 32 bits of their MD5."""
+    joined = F.concat_ws("\x1f", *parts)
+    return F.conv(F.left(F.md5(joined.cast("binary")), F.lit(8)), 16, 10).cast("double") / F.lit(float(1 << 32))
 
 
 def hash_slot(c: Column, n: int) -> Column:

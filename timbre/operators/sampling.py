@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from timbre.operators.scoring import minmax, ranked, top_fraction, zscore_sum
 
@@ -24,12 +26,25 @@ def slices(df: DataFrame, size: int, rank: str = "priority_rank") -> DataFrame:
     return out.withColumn("slice_id", F.concat(F.repeat(F.lit("0"), width - F.length(number)), number)).drop("__last")
 
 
+def checked_priority(joined: DataFrame, priority: str) -> None:
+    """Raises ``ValueError`` if the expression names other columns than a worklist has, or isn't a number."""
+    columns = [*joined.schema.fields, *(T.StructField(c, T.DoubleType()) for c in ("prosody_dsp_score", "norm_aesthetics_pq") if c not in joined.columns)]
+    try:
+        kind = joined.sparkSession.createDataFrame([], T.StructType(columns)).select(F.expr(priority).alias("p")).schema["p"].dataType
+    except AnalysisException as e:
+        raise ValueError(f"priority {priority!r}: {e.getCondition()}") from e
+    if not isinstance(kind, T.NumericType):
+        raise ValueError(f"priority {priority!r} isn't a number")
+
+
 def worklist(joined: DataFrame, weights: Sequence[tuple[str, float]], keep: float | None, priority: str, size: int) -> DataFrame:
     """Survivors in priority order with rank and slice.
 
     Score over all given rows, the top fraction by quantile, quality scaled over
-    the kept ones, priority by an expression over their columns.
+    the kept ones, priority by an expression over their columns, which is checked
+    before any job starts.
     """
+    checked_priority(joined, priority)
     out = zscore_sum(joined, weights)
     if keep is not None:
         out = top_fraction(out, "prosody_dsp_score", keep)

@@ -98,6 +98,19 @@ def framed_powers(df: DataFrame, by: Sequence[str], index: str, value: str, leng
     return frames.groupBy(*by, "frame_no").agg(F.avg(F.col(value) * F.col(value)).alias("power"))
 
 
+def overlapping_frames(df: DataFrame, by: Sequence[str], index: str, value: str, length: int, hop: int) -> DataFrame:
+    """(by, frame_no, rms): effective value of whole frames of ``length`` every ``hop``; a group shorter than one is one frame.
+
+    A row goes to each frame that covers it, ``length / hop`` of them at most.
+    """
+    whole = df.groupBy(*by).agg(F.count("*").alias("__n"))
+    last = F.greatest(F.lit(0), F.floor((F.col("__n") - length) / hop))
+    first = F.greatest(F.lit(0), F.floor((F.col(index) - length) / hop) + 1)
+    rows = df.join(whole, list(by)).withColumns({"__a": first.cast("long"), "__b": F.least(last, F.floor(F.col(index) / hop)).cast("long")}).where(F.col("__a") <= F.col("__b"))
+    frames = rows.withColumn("frame_no", F.explode(F.sequence("__a", "__b")))
+    return frames.groupBy(*by, "frame_no").agg(F.sqrt(F.avg(F.col(value) * F.col(value)) + F.lit(1e-12)).alias("rms"))
+
+
 def blind_snr(powers: DataFrame, by: Sequence[str], eps: float = 1e-10) -> DataFrame:
     """(by, snr_db): 10 log10 of (p95 - p10) / p10 of frame powers, between -20 and 100."""
     out = powers.groupBy(*by).agg(F.percentile("power", F.array(F.lit(0.10), F.lit(0.95))).alias("p"))
@@ -189,6 +202,17 @@ def fitted_spans(spans: Column, n: Column) -> Column:
     return F.when(F.size(spans) == 0, spans).otherwise(F.concat(F.slice(spans, F.lit(1), F.greatest(n, F.lit(0))), F.array_repeat(F.element_at(spans, -1), more)))
 
 
+def aggregate_windows(df: DataFrame) -> DataFrame:
+    """What ``purity`` needs where there is no sequence of windows: a model's own count, mean and least cosine.
+
+    A missing count is 1, a missing mean 1.0, a missing least cosine the mean;
+    there are no runs, so nothing is trimmed.
+    """
+    mean = F.coalesce("mean_win_cos", F.lit(1.0))
+    none = {c: F.lit(None).cast(k) for c, k in (("run_start_s", "double"), ("run_end_s", "double"), ("run_first", "long"), ("run_last", "long"))}
+    return df.withColumns({"n_windows": F.coalesce("n_windows", F.lit(1)), "mean_win_cos": mean, "min_win_cos": F.coalesce("min_win_cos", mean)} | none)
+
+
 def purity(df: DataFrame, rule: PurityRule) -> DataFrame:
     """Adds verdict, trimmed, trim_start_s, trim_end_s, trimmed_duration_s and intrusion_span_ms.
 

@@ -20,4 +20,4 @@ def query(name: str, sql: str | None = None) -> Callable:
     return register
 
 
-from timbre.plans import clip_queries, record_queries, run_queries, shard_queries, signal_queries, table_queries  # noqa: E402, F401  they register themselves
+from timbre.plans import clip_queries, record_queries, run_queries, shard_queries, signal_queries, stage_queries, table_queries  # noqa: E402, F401  they register themselves
