@@ -577,6 +577,23 @@ def test_sharding(spark, docs, rule):
     assert histogram_shard.shard_report(empty(spark, docs), rule).count() == 0
 
 
+def test_sharding_against_a_literal_sort(spark):
+    """Rows lie in the order of their keys, and no other cut of that order is nearer to its target than the tolerance."""
+    rng = random.Random(12)
+    rows = [(i, "same text " * 30 if i % 4 == 0 else "x" * rng.randint(0, 400) + str(rng.randint(0, 50))) for i in range(1500)] + [(5000, "y" * 40_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    keys = {r.doc_id: r.h for r in docs.select("doc_id", F.xxhash64(F.col("text").cast("binary")).alias("h")).collect()}
+    for rule in (histogram_shard.SplitRule(), histogram_shard.SplitRule(shards=3), histogram_shard.SplitRule(shards=7, probes=2)):
+        out = sorted((r.shard, r.slot, r.doc_id, r["size"]) for r in histogram_shard.shard_report(docs, rule).collect())
+        assert [x[2] for x in out] == [i for _, i in sorted((keys[i], i) for i, _ in rows)]
+        sizes = np.array([x[3] for x in out])
+        ends, total = np.concatenate([[0], np.cumsum(sizes)]), int(sizes.sum())
+        for k in range(1, rule.shards):
+            cut = sum(x[3] for x in out if x[0] < k)
+            target = total * k / rule.shards
+            assert abs(cut - target) <= max(rule.tolerance * total / rule.shards, np.abs(ends - target).min()) + 1e-6
+
+
 # --- archives ---
 
 
