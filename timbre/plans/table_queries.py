@@ -10,6 +10,7 @@ from timbre.functions import text
 from timbre.operators import labels, reports, rolling, sampling, scoring, tasks
 from timbre.plans.catalog import query
 from timbre.plans.standins import table
+from timbre.sources.shards import ALIASES
 
 POINTS = reports.QUANTILES
 PART_WEIGHTS = [("p_retailprice", 0.7), ("p_size", 0.3)]
@@ -94,12 +95,13 @@ def alias_resolution(spark, sf_dir):
     """Sidecar documents under mixed alias names; a duration that isn't a number is null."""
     docs = table(spark, sf_dir, "documents")
     key = lambda *names: F.element_at(F.array(*map(F.lit, names)), (F.col("doc_id") % len(names) + 1).cast("int"))
-    pairs = [key("original_id", "id", "wav", "key"), F.col("doc_id").cast("string"), key("original_language", "language", "lang"), F.col("lang"), key("duration_s", "duration", "dur"), F.when(F.col("doc_id") % 5 == 0, "n/a").otherwise(F.col("n_chars").cast("string")), key("original_speaker", "speaker", "spk", "speaker_id"), F.col("source")]
+    names = lambda field: ALIASES[field]
+    pairs = [key(*names("original_id")), F.col("doc_id").cast("string"), key(*names("original_language")), F.col("lang"), key(*names("duration_s")), F.when(F.col("doc_id") % 5 == 0, "n/a").otherwise(F.col("n_chars").cast("string")), key(*names("original_speaker")), F.col("source")]
     rows = docs.select("doc_id", F.to_json(F.create_map(*pairs)).alias("j"))
     j = F.col("j")
     return rows.select(
-        "doc_id", text.first_of(j, ("original_id", "id", "wav", "key")).alias("id"), text.first_of(j, ("original_language", "language", "lang")).alias("language"),
-        text.to_number(text.first_of(j, ("duration_s", "duration", "dur"))).alias("duration_s"), text.first_of(j, ("original_speaker", "speaker", "spk", "speaker_id")).alias("speaker"),
+        "doc_id", text.first_of(j, names("original_id")).alias("id"), text.first_of(j, names("original_language")).alias("language"),
+        text.to_number(text.first_of(j, names("duration_s"))).alias("duration_s"), text.first_of(j, names("original_speaker")).alias("speaker"),
     )
 
 
