@@ -1,8 +1,10 @@
 """Quality rules: word statistics and a hashed n-gram log-likelihood ratio.
 
-Every document gets the mean log-likelihood ratio of its hashed words and pairs
-of words between two multinomials, one of trusted documents and one of the whole
-corpus. Documents that fail the word rules, or whose ratio is below a fixed
+Every document gets the mean log-likelihood ratio of its hashed n-grams (the last
+three characters of each word, and pairs of words) between two multinomials, one
+of trusted documents and one of the whole corpus. There are some ten thousand word
+ends in a corpus of any size, so those of random strings stay rare, where whole
+words would share their buckets with too many others to tell. Documents that fail the word rules, or whose ratio is below a fixed
 threshold, aren't kept. All of it is built from DataFrame functions.
 
 Edge cases: a null or empty text has no words and fails the word rules; a
@@ -26,16 +28,18 @@ from timbre.llm.common import SPACE_CHARS, SPACE_CLASS
 class RatioRule:
     """Parameters of the ratio.
 
-    buckets: hash buckets of words and of pairs of words.
+    buckets: hash buckets of word ends and of pairs of words.
+    word_end: characters of a word's end; shorter words count whole.
     trusted_rows: bound on the labelled rows that the trusted multinomial is
         fitted on (those of the smallest id hash); corpus counts have no bound.
-    smoothing: n-grams that each bucket of words and of pairs is taken to hold
+    smoothing: n-grams that each bucket of word ends and of pairs is taken to hold
         besides in the corpus, and as many at the corpus rate in the trusted
         texts. Most pairs are new in a small corpus, so theirs is greater.
     threshold: least mean log ratio per n-gram (nats) of a kept document.
     """
 
     buckets: tuple[int, int] = (1 << 16, 1 << 15)
+    word_end: int = 3
     trusted_rows: int = 20000
     smoothing: tuple[float, float] = (1.0, 16.0)
     threshold: float = -0.2
@@ -49,11 +53,12 @@ def words_of(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, f"{SPACE_CLASS}+"))
 
 
-def ngram_buckets(words: Column, count: Column, buckets: tuple[int, int]) -> Column:
-    """Bucket of each word, then of each pair of words, which are behind those of words."""
+def ngram_buckets(words: Column, count: Column, rule: RatioRule) -> Column:
+    """Bucket of each word's end, then of each pair of words, which are behind those of ends."""
+    buckets = rule.buckets
     fold = lambda n, *c: F.pmod(F.xxhash64(*c), F.lit(n)).cast("int")
     empty = F.array().cast("array<int>")
-    one = F.transform(words, lambda w: fold(buckets[0], w))
+    one = F.transform(words, lambda w: fold(buckets[0], F.substring(w, -rule.word_end, rule.word_end)))
     two = F.when(count > 1, F.transform(F.sequence(F.lit(1), count - 1), lambda i: fold(buckets[1], F.get(words, i - 1), F.get(words, i)) + F.lit(buckets[0])))
     return F.concat(one, F.coalesce(two, empty))
 
@@ -74,11 +79,11 @@ def ratio_weights(docs: DataFrame, labels: DataFrame, rule: RatioRule) -> DataFr
     good = F.broadcast(trusted_ids(labels, rule).select(F.col("doc_id").alias("__good")))
     bags = docs.select(F.col("doc_id").alias("__id"), words_of(F.col("text")).alias("__w"))
     bags = bags.join(good, F.col("__id") == F.col("__good"), "left")
-    bags = bags.select(F.explode(ngram_buckets(F.col("__w"), F.size("__w"), rule.buckets)).alias("b"), F.col("__good").isNotNull().cast("long").alias("t"))
+    bags = bags.select(F.explode(ngram_buckets(F.col("__w"), F.size("__w"), rule)).alias("b"), F.col("__good").isNotNull().cast("long").alias("t"))
     counts = bags.groupBy("b").agg(F.count("*").alias("raw"), F.sum("t").alias("good"))
     cells = docs.sparkSession.range(sum(rule.buckets)).select(F.col("id").cast("int").alias("b"))
     cells = cells.join(counts, "b", "left").select("b", F.coalesce("raw", F.lit(0)).alias("raw"), F.coalesce("good", F.lit(0)).alias("good"))
-    word = F.col("b") < rule.buckets[0]
+    word = F.col("b") < rule.buckets[0]  # else a pair
     total = lambda c, order: F.sum(F.when(order, F.col(c)))
     packed = cells.agg(
         F.sort_array(F.collect_list(F.struct("b", "raw", "good"))).alias("c"), F.sum("good").alias("n_good"),
@@ -118,7 +123,7 @@ def judged(docs: DataFrame, labels: DataFrame, rule: RatioRule = RatioRule()) ->
         F.length(F.regexp_replace(text, f"{SPACE_CLASS}+", "")).cast("long").alias("word_chars"),
         F.length(F.regexp_replace(text, "[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"), lines.alias("lines"),
     )
-    grams = ngram_buckets(w, n, rule.buckets)
+    grams = ngram_buckets(w, n, rule)
     out = out.select("row", F.col("n").cast("long").alias("n_words"), "word_chars", "n_symbols", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), "n_repeat_words", grams.alias("grams"))
     out = out.crossJoin(weights)  # one row of fixed size
     total = F.aggregate("grams", F.lit(0).cast("long"), lambda a, b: a + F.get(F.col("weights"), b)) / 1000.0
