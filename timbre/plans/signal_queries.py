@@ -135,16 +135,16 @@ def peak_dbfs(spark, sf_dir):
     return rows.withColumn("peak_dbfs", F.round("peak_dbfs", 6))
 
 
-@query("peak_count")
-def peak_count(spark, sf_dir):
-    return arrays(spark, sf_dir, 100.0).select("user_id", F.size(sequences.greedy_peaks(F.col("samples"), 0.5, 3)).alias("peaks"))
-
-
 #: The greedy choice as jumps: the next peak is the first maximum far enough from the last one.
 SPACED = f"""{FRAMES}, s AS (SELECT user_id, i, greatest(-1, least(1, value / 100)) AS v FROM frames), m AS (SELECT user_id, i FROM (SELECT *, lag(v) OVER o AS b, lead(v) OVER o AS a FROM s WINDOW o AS (PARTITION BY user_id ORDER BY i)) WHERE v >= coalesce(b, v) AND v >= coalesce(a, v) AND v >= 0.5),
     taken AS (SELECT user_id, min(i) AS i FROM m GROUP BY user_id UNION ALL SELECT user_id, i FROM (SELECT t.user_id, t.i AS last, min(m.i) AS i FROM taken t JOIN m ON m.user_id = t.user_id AND m.i >= t.i + 3 GROUP BY t.user_id, t.i))"""
 
 
+@query("peak_count", f"WITH RECURSIVE {SPACED} SELECT u.user_id, cast(count(i) AS int) AS peaks FROM (SELECT DISTINCT user_id FROM events) u LEFT JOIN taken USING (user_id) GROUP BY u.user_id")
+def peak_count(spark, sf_dir):
+    return arrays(spark, sf_dir, 100.0).select("user_id", F.size(sequences.greedy_peaks(F.col("samples"), 0.5, 3)).alias("peaks"))
+
+
 @query("spaced_peaks", f"WITH RECURSIVE {SPACED} SELECT u.user_id, count(i) AS peaks, coalesce(max(i), -1) AS last_peak, cast(coalesce(sum(i), 0) AS bigint) AS places FROM (SELECT DISTINCT user_id FROM events) u LEFT JOIN taken USING (user_id) GROUP BY u.user_id")
 def spaced_peaks(spark, sf_dir):
     """Peaks three frames or more apart, in each user's samples."""
