@@ -238,3 +238,27 @@ def test_vectors_by_pointer(spark, tmp_path):
     with pytest.raises(Exception, match="numbers"):
         vector_files.write_vectors(rows.withColumn("embedding", F.when(F.col("emb_row") == 2, F.array(F.lit(1.0))).otherwise(F.col("embedding"))), path + "/other")
     assert staged.opened("file:/a/b")[1] == "/a/b"
+
+
+def counted_rows(spark, df):
+    """``df``, and a count of the rows that tasks have worked out for it."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    return df.mapInArrow(count, df.schema), seen
+
+
+def test_small_tars_share_tasks(spark, tmp_path):
+    """Tasks don't grow with the number of small tars; headers and the rows to fetch are worked out once."""
+    for k in range(40):
+        (tmp_path / f"s{k}.tar").write_bytes(tar_bytes([(f"c{k}.flac", bytes([k])), (f"c{k}.json", b"{}")]))
+    index = tars.member_index(spark, str(tmp_path))
+    assert index.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and index.count() == 80
+    assert "MapInArrow" not in index._jdf.queryExecution().toString()
+    rows, seen = counted_rows(spark, tars.paired(index))
+    out = tars.fetched(rows, [("audio", "offset", "size")], task_bytes=10).collect()
+    assert sorted(bytes(r.audio) for r in out) == [bytes([k]) for k in range(40)] and seen.value == 40

@@ -9,12 +9,16 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql.datasource import DataSourceArrowWriter, WriterCommitMessage
 
+#: Moves that a commit makes at a time.
+MOVERS = 16
+
 
 def opened(path: str) -> tuple[fs.FileSystem, str]:
     """The store of an address and the path in it; ``file:/x`` as Hadoop writes it is known too."""
@@ -62,12 +66,18 @@ class StagedWriter(DataSourceArrowWriter):
             old = [f.path for f in found if f.type == fs.FileType.File and "/_staged/" not in f.path and f.path not in fresh]
             for path in sorted(old, key=lambda p: "/manifest/" not in p):  # a manifest before what it names
                 store.delete_file(path)
-        for kind in ("files", "manifests"):
-            for m in done:
-                for staged, final in getattr(m, kind):
-                    if store.get_file_info(staged).type == fs.FileType.File:  # else an earlier commit has moved it
-                        store.create_dir(final.rsplit("/", 1)[0])
-                        store.move(staged, final)
+
+        def move(pair: tuple[str, str]) -> None:
+            staged, final = pair
+            if store.get_file_info(staged).type == fs.FileType.File:  # else an earlier commit has moved it
+                store.move(staged, final)
+
+        with ThreadPoolExecutor(MOVERS) as pool:
+            for kind in ("files", "manifests"):
+                pairs = [pair for m in done for pair in getattr(m, kind)]
+                for folder in sorted({final.rsplit("/", 1)[0] for _, final in pairs}):
+                    store.create_dir(folder)
+                list(pool.map(move, pairs))  # all files are in place before a manifest is
         self.abort(messages)
 
     def abort(self, messages: list[Staged | None]) -> None:

@@ -1,7 +1,7 @@
 """Tar shards by offset: an index of members from the headers alone, and reads of the byte ranges that rows ask for.
 
-A first pass reads the headers of each tar (a task per tar, no payload). Members
-are paired and chosen as rows of that index; what they hold is then fetched by
+A first pass reads the headers of each tar (a task per large tar or per many small
+ones, no payload) and stores them. Members are paired and chosen as rows of that index; what they hold is then fetched by
 tasks that each take a range of a tar, open it once and read neighbouring members
 together. So tars may be of any size, a task holds one run of members at a time,
 and members that nobody asks for aren't read. Tars are uncompressed and lie in
@@ -19,12 +19,15 @@ from pyspark.sql import functions as F
 
 from timbre.sources.shards import is_audio, stem
 from timbre.sources.staged import opened
+from timbre.store import checkpointed
 
 INDEX = "tar string, shard string, position long, member string, offset long, size long, error string"
 #: Members that lie nearer than this are read together; bytes that a task holds of one run, unless a member is larger.
 NEAR, RUN = 1 << 16, 8 << 20
 #: Bytes that a fetching task reads, about.
 TASK_BYTES = 128 << 20
+#: Bytes that opening a tar counts as, where tars are dealt to indexing tasks.
+OPEN_BYTES = 1 << 20
 BATCH = 1024
 
 
@@ -73,9 +76,15 @@ def _index_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def member_index(spark: SparkSession, path: str, tasks: int | None = None) -> DataFrame:
-    """A row per regular member of each tar; a damaged tar has a row with the error after its last whole member."""
-    files = tar_files(spark, path).select("tar")
-    return files.repartition(tasks or max(1, files.count()), "tar").mapInArrow(_index_batches, INDEX)
+    """A row per regular member of each tar; a damaged tar has a row with the error after its last whole member.
+
+    Headers are read once, whatever is done with the rows. Small tars share tasks, which are dealt by bytes and opened files.
+    """
+    files = checkpointed(tar_files(spark, path))
+    count, size = files.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    shares = max(-(-(size + count * OPEN_BYTES) // TASK_BYTES), spark.sparkContext.defaultParallelism)
+    spread = files.select("tar").repartition(tasks or max(1, min(count, shares)))
+    return checkpointed(spread.mapInArrow(_index_batches, INDEX))
 
 
 def paired(index: DataFrame) -> DataFrame:
@@ -163,8 +172,10 @@ def fetched(rows: DataFrame, parts: Sequence[tuple[str, str, str]], near: int =
 
     Rows are ordered by file and place over as many ranges as the bytes need, so
     each task reads its part of a file forwards. ``read_bytes`` has, on the first
-    row of each run, the bytes that were read for it.
+    row of each run, the bytes that were read for it. ``rows`` are worked out once
+    and stored, since their bytes, their ranges and their order are asked for.
     """
+    rows = checkpointed(rows)
     total = rows.agg(*(F.sum(F.coalesce(s, F.lit(0))) for _, _, s in parts)).first()
     tasks = max(1, -(-sum(x or 0 for x in total) // task_bytes))
     spread = rows.repartitionByRange(int(tasks), file, parts[0][1]).sortWithinPartitions(file, parts[0][1])
