@@ -375,3 +375,17 @@ def test_triaged_clips_have_no_labels(spark):
     assert rows["b"].s4_status == "ok" and rows["b"].labels is None and rows["b"].triaged and rows["a"].labels is not None
     fine = labels.label_pass(clips, poor.where("usable"), triage=triage).collect()
     assert not any(r.triaged for r in fine) and all(r.labels is not None for r in fine)
+
+
+def test_bytes_round_as_they_are_printed(spark):
+    sizes = [0, 1023, 1024, 1280, 1792, 2304, 2816, 3328, 3329, 3840, 1048524, 1048525, 1048575, 1 << 20, 5 << 18, 7 << 18, (9 << 38) - 1, 9 << 38, (9 << 38) + 1, 11 << 38, 5000 << 40]
+    got = {r.n: r.h for r in spark.createDataFrame([(n,) for n in sizes], "n long").select("n", text.human_bytes(F.col("n")).alias("h")).collect()}
+
+    def printed(n):
+        for power, unit in ((10, "KB"), (20, "MB"), (30, "GB"), (40, "TB")):
+            if n < 1024:
+                return f"{n} B"
+            if n < 1 << power + 10 or unit == "TB":
+                return f"{n / (1 << power):.1f} {unit}"
+
+    assert got == {n: printed(n) for n in sizes}

@@ -68,12 +68,23 @@ def shortened(error: Column, size: int = 500) -> Column:
     return F.left(error, F.lit(size))
 
 
+def tenths(n: Column, power: int) -> Column:
+    """``n`` / 2**``power`` with one decimal; halves go to the even digit, as C and Python print them (Java's format rounds them up)."""
+    unit = 1 << power
+    rest = F.pmod(n, F.lit(unit)) * 10
+    low, over = F.floor(rest / F.lit(unit)), F.pmod(rest, F.lit(unit)) * 2
+    up = (over > unit) | ((over == unit) & (low % 2 == 1))
+    all_tenths = F.floor(n / F.lit(unit)) * 10 + low + up.cast("long")
+    return F.concat(F.floor(all_tenths / 10).cast("string"), F.lit("."), (all_tenths % 10).cast("string"))
+
+
 def human_bytes(n: Column) -> Column:
     """Bytes by powers of 1024 with one decimal."""
-    out = F.concat(F.format_string("%.1f", n / F.lit(float(1 << 40))), F.lit(" TB"))
+    n = n.cast("long")
+    out = F.concat(tenths(n, 40), F.lit(" TB"))
     for power, unit in ((30, "GB"), (20, "MB"), (10, "KB")):
-        out = F.when(n < (1 << power + 10), F.concat(F.format_string("%.1f", n / F.lit(float(1 << power))), F.lit(f" {unit}"))).otherwise(out)
-    return F.when(n < 1024, F.concat(n.cast("long").cast("string"), F.lit(" B"))).otherwise(out)
+        out = F.when(n < (1 << power + 10), F.concat(tenths(n, power), F.lit(f" {unit}"))).otherwise(out)
+    return F.when(n < 1024, F.concat(n.cast("string"), F.lit(" B"))).otherwise(out)
 
 
 def is_rate_limit(error: Column) -> Column:
