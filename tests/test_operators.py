@@ -377,6 +377,31 @@ def test_triaged_clips_have_no_labels(spark):
     assert not any(r.triaged for r in fine) and all(r.labels is not None for r in fine)
 
 
+def test_rows_tied_at_the_cut_are_kept(spark):
+    """Interpolation between equal scores gives that score, not one beside it."""
+    for score in (0.10802409014926796, 0.7, -1 / 3):
+        for n in (24, 30, 37, 43, 58):
+            rows = spark.range(n).select(F.lit(score).alias("s"))
+            assert scoring.top_fraction(rows, "s", 0.4).count() == n
+
+
+def test_statistics_are_worked_out_once(spark):
+    """A score that is made anew for another job is the same to the last bit."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = spark.range(50).select("id", (F.col("id") % 7).cast("double").alias("a"), (F.col("id") % 3).alias("g"))
+    for by, least in (((), 50), (("g",), 50)):
+        for out in (scoring.zscore_sum(rows.mapInArrow(count, rows.schema), [("a", 1.0)], by=by), scoring.minmax(rows.mapInArrow(count, rows.schema), {"b": "a"}, 0.0, by=by)):
+            before = seen.value
+            assert out.count() == 50 and out.select("id").distinct().count() == 50
+            assert seen.value - before <= 2 * least  # the rows of each job, none for the statistics
+
+
 def test_bytes_round_as_they_are_printed(spark):
     sizes = [0, 1023, 1024, 1280, 1792, 2304, 2816, 3328, 3329, 3840, 1048524, 1048525, 1048575, 1 << 20, 5 << 18, 7 << 18, (9 << 38) - 1, 9 << 38, (9 << 38) + 1, 11 << 38, 5000 << 40]
     got = {r.n: r.h for r in spark.createDataFrame([(n,) for n in sizes], "n long").select("n", text.human_bytes(F.col("n")).alias("h")).collect()}

@@ -19,12 +19,16 @@ PREFIX = "__stat_"
 
 
 def with_stats(df: DataFrame, stats: Mapping[str, Column], by: Sequence[str] = ()) -> DataFrame:
-    """``df`` with the aggregates as columns: a broadcast row of all rows, or a row of the group, joined back."""
+    """``df`` with the aggregates as columns: a broadcast row of all rows, or a row of the group, joined back.
+
+    The aggregates are worked out once and stored: sums of doubles depend on the order in which
+    partitions come, so a score made anew for another job could lie beside a cut made from the first.
+    """
     named = [c.alias(PREFIX + n) for n, c in stats.items()]
     if not by:
-        return df.crossJoin(F.broadcast(df.agg(*named)))  # a single row
+        return df.crossJoin(F.broadcast(checkpointed(df.agg(*named))))  # a single row
     keys = [PREFIX + f"by{i}" for i in range(len(by))]
-    groups = df.groupBy(*(F.col(b).alias(k) for b, k in zip(by, keys))).agg(*named)
+    groups = checkpointed(df.groupBy(*(F.col(b).alias(k) for b, k in zip(by, keys))).agg(*named))
     match = F.lit(True)
     for b, k in zip(by, keys):
         match = match & F.col(b).eqNullSafe(F.col(k))
@@ -78,7 +82,8 @@ def quantiles(df: DataFrame, metrics: Sequence[str], points: Sequence[float]) ->
     high = F.max(F.when((F.col("before") <= F.col("hi")) & (F.col("before") + F.col("c") > F.col("hi")), F.col("v")))
     ends = hits.groupBy(F.col("m"), F.col("q").alias("hq")).agg(low.alias("a"), high.alias("b"))
     out = at.join(ends, (F.col("metric") == F.col("m")) & (F.col("q") == F.col("hq")), "left")
-    value = F.when(F.col("lo") == F.col("hi"), F.col("a")).otherwise(F.col("a") * (F.col("hi") - F.col("at")) + F.col("b") * (F.col("at") - F.col("lo")))
+    # between equal values this is that value to the last bit, so that rows tied at a cut aren't lost
+    value = F.when(F.col("a") == F.col("b"), F.col("a")).otherwise(F.col("a") + (F.col("b") - F.col("a")) * (F.col("at") - F.col("lo")))
     return out.select("metric", "n", "mean", "q", value.alias("value"))
 
 
