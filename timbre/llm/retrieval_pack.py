@@ -270,16 +270,35 @@ def tokenise(rule: PackRule) -> Callable:
     return run
 
 
+#: Pieces whose terms are counted side by side.
+TOGETHER = 512
+
+
+def counted_terms(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(piece, token, count) of the distinct tokens of each piece, by piece and token."""
+    sizes = np.array([len(p) // 2 for p in pieces], np.int64)
+    keys = np.repeat(np.arange(len(pieces), dtype=np.uint32) << np.uint32(16), sizes) | np.frombuffer(b"".join(pieces), "<u2")
+    keys.sort()
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    return (keys[first] >> np.uint32(16)).astype(np.int64), (keys[first] & np.uint32(0xFFFF)).astype(np.int64), np.diff(np.r_[first, len(keys)])
+
+
+def in_turns(column: pa.Array) -> Iterator[tuple[int, list]]:
+    """(start, values) of ``TOGETHER`` rows after the other."""
+    for start in range(0, len(column), TOGETHER):
+        yield start, column.slice(start, TOGETHER).to_pylist()
+
+
 def frequency_counter(size: int, window: int) -> Callable:
     """In how many pieces and whole windows of the task each token is; and their number and tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, pieces, tokens = np.zeros(size, np.int64), 0, 0
         for batch in batches:
-            for rest, wholes in zip(batch.column(0), batch.column(1)):
-                ids = np.frombuffer(rest.as_py(), "<u2")
-                pieces, tokens = pieces + 1, tokens + len(ids)
-                found[np.unique(ids)] += 1
+            for _, rests in in_turns(batch.column(0)):
+                pieces, tokens = pieces + len(rests), tokens + sum(map(len, rests)) // 2
+                found += np.bincount(counted_terms(rests)[1], minlength=size)
+            for wholes in batch.column(1):
                 for terms in wholes.as_py():
                     pieces, tokens = pieces + 1, tokens + window
                     found[np.frombuffer(terms, "<u2")] += 1
@@ -316,12 +335,19 @@ def leading_terms(sent) -> Callable:
         idf, _ = sent.value
         for batch in batches:
             out = np.full((batch.num_rows, 3), -1, np.int32)
-            for i, rest in enumerate(batch.column(4)):
-                terms, counts = np.unique(np.frombuffer(rest.as_py(), "<u2"), return_counts=True)
+            for start, rests in in_turns(batch.column(4)):
+                piece, terms, counts = counted_terms(rests)
                 weight = idf[terms] * np.log1p(counts)
-                best = np.argsort(-weight, kind="stable")[:3]
-                best = best[weight[best] > 0]
-                out[i, : len(best)] = terms[best]
+                piece, terms, weight = piece[weight > 0], terms[weight > 0], weight[weight > 0]
+                for k in range(3):
+                    if not len(piece):
+                        break
+                    begins = np.flatnonzero(np.r_[True, piece[1:] != piece[:-1]])
+                    greatest = np.repeat(np.maximum.reduceat(weight, begins), np.diff(np.r_[begins, len(piece)]))
+                    best = np.flatnonzero(weight == greatest)
+                    best = best[np.searchsorted(best, begins)]  # the lowest token of each piece
+                    out[start + piece[best], k] = terms[best]
+                    piece, terms, weight = (np.delete(x, best) for x in (piece, terms, weight))
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], *(pa.array(out[:, k]) for k in range(3))], names=[x.split()[0] for x in TERM_SCHEMA.split(", ")])
 
     return run
@@ -426,6 +452,7 @@ def packed_pieces(docs: DataFrame, rule: PackRule = PackRule(), place: str | Non
     sent = spark.sparkContext.broadcast((term_weights(held, n), max(1.0, tokens / max(1, n))))  # a number for each token of the vocabulary
     if place is None:
         keys = pieces.select("piece", "salt", "doc_id", "doc_tokens", "rest").mapInArrow(leading_terms(sent), TERM_SCHEMA)
+        keys = checkpointed(keys)  # ranges are sampled before they are dealt
         order = ["t1", "t2", "t3", "salt", "doc_id", "doc_tokens", "piece"]
     else:
         keys, order = pieces.select("piece", "place"), ["place", "piece"]
